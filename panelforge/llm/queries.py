@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import bpe_tree, packing
+from pyspark.sql import functions as F
+
+from panelforge.llm import additive_ann, bpe_tree, chat, fuzzy_lines, packing, simhash_trie
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -16,6 +18,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat.rotate_perspectives(_table(spark, sf_dir, "conversations"))
+    return out.withColumn("spans", chat.spans_text(F.col("spans"))).withColumnRenamed("spans", "mask")
+
+
+def op3_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return additive_ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.encode_digest(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -24,9 +35,18 @@ def op8_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_trie.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fuzzy_lines.dedup_lines(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_bpe_segment_tree, op8_cost_balanced_packing)}
+    return {f.__name__: f for f in (op1_perspective_rotation, op3_additive_quantisation, op7_bpe_segment_tree, op8_cost_balanced_packing, op9_simhash_trie, op10_fuzzy_lines)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_perspective_rotation": chat.ORACLE_SQL}
