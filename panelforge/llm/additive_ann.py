@@ -121,10 +121,10 @@ def nearest(
     frame: DataFrame,
     k: int = 20,
     query_every: int = 20,
-    books: int = 8,
-    words: int = 64,
+    books: int = 12,
+    words: int = 256,
     beam: int = 4,
-    rerank: int = 256,
+    rerank: int = 320,
     slack_weight: float = 0.0,
     train_rows: int = 8192,
     row_chunk: int = 4096,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from panelforge.llm import additive_ann, bpe_tree, chat, fuzzy_lines, packing, simhash_trie
+from panelforge.llm import additive_ann, bpe_tree, chat, fuzzy_lines, langid, packing, simhash_trie
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -27,6 +27,12 @@ def op3_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return additive_ann.nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def op6_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = langid.identify(docs, docs.where(~langid.held_out()))
+    return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
 def op7_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.encode_digest(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -45,7 +51,7 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_perspective_rotation, op3_additive_quantisation, op7_bpe_segment_tree, op8_cost_balanced_packing, op9_simhash_trie, op10_fuzzy_lines)}
+    return {f.__name__: f for f in (op1_perspective_rotation, op3_additive_quantisation, op6_language_spans, op7_bpe_segment_tree, op8_cost_balanced_packing, op9_simhash_trie, op10_fuzzy_lines)}
 
 
 def oracle_sql() -> dict[str, str]:
