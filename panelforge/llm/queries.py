@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from panelforge.llm import additive_ann, bpe_tree, chat, fuzzy_lines, langid, packing, simhash_trie
+from panelforge.llm import additive_ann, bloom_lm, bpe_tree, chat, fuzzy_lines, langid, packing, rare_digest, simhash_trie
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -27,6 +27,14 @@ def op3_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return additive_ann.nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_rare_feature_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rare_digest.digests(_table(spark, sf_dir, "documents"))
+
+
+def op5_log_frequency_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op6_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = langid.identify(docs, docs.where(~langid.held_out()))
@@ -51,7 +59,7 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_perspective_rotation, op3_additive_quantisation, op6_language_spans, op7_bpe_segment_tree, op8_cost_balanced_packing, op9_simhash_trie, op10_fuzzy_lines)}
+    return {f.__name__: f for f in (op1_perspective_rotation, op3_additive_quantisation, op4_rare_feature_digest, op5_log_frequency_bloom_lm, op6_language_spans, op7_bpe_segment_tree, op8_cost_balanced_packing, op9_simhash_trie, op10_fuzzy_lines)}
 
 
 def oracle_sql() -> dict[str, str]:
