@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from panelforge.llm import additive_ann, bloom_lm, bpe_tree, chat, fuzzy_lines, langid, packing, rare_digest, simhash_trie
+from panelforge.llm import additive_ann, bloom_lm, bpe_tree, chat, fuzzy_lines, langid, packing, rare_digest, simhash_trie, suffix_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -23,6 +23,11 @@ def op1_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("spans", chat.spans_text(F.col("spans"))).withColumnRenamed("spans", "mask")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.dedup_passages(docs).drop("text")
+
+
 def op3_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return additive_ann.nearest(_table(spark, sf_dir, "embeddings"))
 
@@ -59,7 +64,7 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_perspective_rotation, op3_additive_quantisation, op4_rare_feature_digest, op5_log_frequency_bloom_lm, op6_language_spans, op7_bpe_segment_tree, op8_cost_balanced_packing, op9_simhash_trie, op10_fuzzy_lines)}
+    return {f.__name__: f for f in (op1_perspective_rotation, op2_suffix_dedup, op3_additive_quantisation, op4_rare_feature_digest, op5_log_frequency_bloom_lm, op6_language_spans, op7_bpe_segment_tree, op8_cost_balanced_packing, op9_simhash_trie, op10_fuzzy_lines)}
 
 
 def oracle_sql() -> dict[str, str]:
