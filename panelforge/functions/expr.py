@@ -44,8 +44,10 @@ def symbol(c: str) -> str:
 
 
 def day_of_seconds(seconds: str) -> Expr:
+    """Day of seconds since 1970; null beyond the year 9999."""
     days = f"try_cast(floor({seconds} / 86400) AS INT)"
-    return f"date_add(DATE '1970-01-01', {days})", f"(DATE '1970-01-01' + {days})"
+    inside = f"{days} BETWEEN -719162 AND 2932896"
+    return f"CASE WHEN {inside} THEN date_add(DATE '1970-01-01', {days}) END", f"CASE WHEN {inside} THEN (DATE '1970-01-01' + {days}) END"
 
 
 def epoch_day_by_digits(c: str) -> Expr:
@@ -53,14 +55,14 @@ def epoch_day_by_digits(c: str) -> Expr:
     n = f"length(trim({c}))"
     scale = f"(CASE WHEN {n} >= 19 THEN CAST(1000000000 AS DOUBLE) WHEN {n} >= 16 THEN CAST(1000000 AS DOUBLE) WHEN {n} >= 13 THEN CAST(1000 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END)"
     seconds = f"(try_cast(trim({c}) AS DOUBLE) / {scale})"
-    return both("(CASE WHEN {digits} THEN {day} WHEN {iso} THEN try_cast(substr(trim(" + c + "), 1, 10) AS DATE) END)", digits=matches(f"trim({c})", "^[0-9]+$"), day=day_of_seconds(seconds), iso=matches(f"trim({c})", "^[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"))
+    return both("(CASE WHEN {digits} THEN ({day}) WHEN {iso} THEN try_cast(substr(trim(" + c + "), 1, 10) AS DATE) END)", digits=matches(f"trim({c})", "^[0-9]+$"), day=day_of_seconds(seconds), iso=matches(f"trim({c})", "^[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"))
 
 
 def epoch_day_by_size(c: str) -> Expr:
     """From 10**18 on nanoseconds, from 10**15 microseconds, else seconds; ten characters are an ISO date."""
     v = f"try_cast(trim({c}) AS DOUBLE)"
     seconds = f"(CASE WHEN {v} >= 1e18 THEN {v} / 1e9 WHEN {v} >= 1e15 THEN {v} / 1e6 ELSE {v} END)"
-    return both("(CASE WHEN length(trim(" + c + ")) = 10 THEN (CASE WHEN {iso} THEN try_cast(trim(" + c + ") AS DATE) END) WHEN {digits} THEN {day} END)", iso=matches(f"trim({c})", "^[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]$"), digits=matches(f"trim({c})", "^[0-9]+$"), day=day_of_seconds(seconds))
+    return both("(CASE WHEN length(trim(" + c + ")) = 10 THEN (CASE WHEN {iso} THEN try_cast(trim(" + c + ") AS DATE) END) WHEN {digits} THEN ({day}) END)", iso=matches(f"trim({c})", "^[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]$"), digits=matches(f"trim({c})", "^[0-9]+$"), day=day_of_seconds(seconds))
 
 
 def reasons(**rules: Expr) -> Expr:
