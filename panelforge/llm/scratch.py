@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -21,8 +22,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs[app]
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and no executor holds the only copy."""
+    release(df.sparkSession)
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/panelforge-{uuid.uuid4().hex}"
     df.write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)

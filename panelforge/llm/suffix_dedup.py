@@ -92,7 +92,7 @@ def unpack(blob: bytes, text_col: str) -> tuple[pa.RecordBatch, list[bytes]]:
     return batch, [(t or "").encode() for t in batch.column(batch.schema.names.index(text_col)).to_pylist()]
 
 
-def chunk_pieces(texts: list[bytes], block: int = 1 << 21):
+def chunk_pieces(texts: list[bytes], block: int = 1 << 20):
     """Pieces of a chunk, places counted over the chunk; computed a few documents at a time."""
     out, group, size, base = [], [], 0, 0
     for i, text in enumerate(texts):
@@ -302,7 +302,7 @@ def _sort_blocks(block_bytes: int):
     return run
 
 
-def dedup_passages(docs: DataFrame, text_col: str = "text", chunk_bytes: int = 1 << 24, block_bytes: int = 1 << 22, block_pieces: int = 4096) -> DataFrame:
+def dedup_passages(docs: DataFrame, text_col: str = "text", chunk_bytes: int = 1 << 23, block_bytes: int = 1 << 21, block_pieces: int = 4096) -> DataFrame:
     """``docs`` with the kept text, and n_bytes, n_removed, n_spans, kept_sha256."""
     spark = docs.sparkSession
     chunks = materialize(chunked(docs, chunk_bytes, text_col))
