@@ -28,6 +28,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelforge.llm.bloom_lm import _deal, mix
 from panelforge.llm.scratch import discard, materialize, tasks
@@ -302,7 +303,7 @@ def _sort_blocks(block_bytes: int):
     return run
 
 
-def dedup_passages(docs: DataFrame, text_col: str = "text", chunk_bytes: int = 1 << 23, block_bytes: int = 1 << 21, block_pieces: int = 4096) -> DataFrame:
+def dedup_passages(docs: DataFrame, text_col: str = "text", chunk_bytes: int = 1 << 23, block_bytes: int = 1 << 21, block_pieces: int = 512) -> DataFrame:
     """``docs`` with the kept text, and n_bytes, n_removed, n_spans, kept_sha256."""
     spark = docs.sparkSession
     chunks = materialize(chunked(docs, chunk_bytes, text_col))
@@ -355,7 +356,7 @@ def dedup_passages(docs: DataFrame, text_col: str = "text", chunk_bytes: int = 1
                 yield pa.RecordBatch.from_arrays([*columns, pa.array([len(t) for t in texts], pa.int64()), pa.array(count, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha)], names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     ready = chunks.join(done, "chunk").select("blob", "parts", "runs")
-    schema = docs.schema
+    schema = T.StructType(list(docs.schema.fields))  # adding to docs.schema would change docs
     for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string")):
         schema = schema.add(name, kind) if name not in names else schema
     return ready.mapInArrow(cut, schema)
