@@ -304,8 +304,9 @@ def _sort_blocks(block_bytes: int):
 
 
 def dedup_passages(docs: DataFrame, text_col: str = "text", chunk_bytes: int = 1 << 23, block_bytes: int = 1 << 21, block_pieces: int = 512) -> DataFrame:
-    """``docs`` with the kept text, and n_bytes, n_removed, n_spans, kept_sha256."""
+    """``docs`` with the kept text, and n_bytes, n_removed, n_spans, kept_sha256 in place of any columns of these names."""
     spark = docs.sparkSession
+    docs = docs.drop("n_bytes", "n_removed", "n_spans", "kept_sha256")
     chunks = materialize(chunked(docs, chunk_bytes, text_col))
     bits = max(6, int(np.ceil(np.log2(max(chunks.count() / 8, 1)))))
     keys = chunks.mapInArrow(_counted_keys(bits, text_col), "kind long, chunk long, segment long, keys binary, more binary")
@@ -355,8 +356,9 @@ def dedup_passages(docs: DataFrame, text_col: str = "text", chunk_bytes: int = 1
                 columns = [text if i == at else c for i, c in enumerate(rows.columns)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array([len(t) for t in texts], pa.int64()), pa.array(count, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha)], names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    ready = chunks.join(done, "chunk").select("blob", "parts", "runs")
+    # a chunk of short texts has no pieces and so no codes
+    ready = chunks.join(done, "chunk", "left").select("blob", "parts", "runs")
     schema = T.StructType(list(docs.schema.fields))  # adding to docs.schema would change docs
     for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string")):
-        schema = schema.add(name, kind) if name not in names else schema
+        schema = schema.add(name, kind)
     return ready.mapInArrow(cut, schema)

@@ -462,3 +462,13 @@ def test_fuzzy_lines_run_no_python(spark, docs, empty):
     assert fuzzy_lines.dedup_lines(empty).count() == 0
     plan = fuzzy_lines.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_clashing_columns(spark):
+    odd = spark.createDataFrame([(i, t, "a", 1, 2, "b", "c") for i, t in ODD], "doc_id long, text string, n_removed string, fp int, line int, lang string, lang_pred string")
+    lines = fuzzy_lines.dedup_lines(odd)
+    assert lines.columns == ["doc_id", "text", "fp", "line", "lang", "lang_pred", "n_lines", "n_removed"] and lines.count() == len(ODD)
+    passages = suffix_dedup.dedup_passages(odd)
+    assert passages.columns[:6] == ["doc_id", "text", "fp", "line", "lang", "lang_pred"] and passages.count() == len(ODD)
+    assert simhash_trie.near_duplicates(odd).count() == len(ODD) <= packing.pack(odd, PATH).count()
+    assert langid.identify(odd, odd).count() == bloom_lm.score_documents(odd).count() == rare_digest.digests(odd).count() == len(ODD)
