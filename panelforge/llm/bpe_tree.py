@@ -124,7 +124,7 @@ def merge_rows(vocab: Vocabulary, ids: np.ndarray, count: np.ndarray) -> np.ndar
 class Encoder:
     """Texts to ids, word by word, with a bounded store of words met before."""
 
-    def __init__(self, path: str, max_words: int = 500_000, batch_cells: int = 1 << 20):
+    def __init__(self, path: str, max_words: int = 200_000, batch_cells: int = 1 << 20):
         self.vocab, self.max_words, self.batch_cells = vocabulary(path), max_words, batch_cells
         self.known: dict = {}  # piece -> its ids as little-endian unsigned 32-bit integers
 
@@ -184,7 +184,7 @@ class Encoder:
         """Id bytes of a text whose pieces are in the store."""
         return b"".join(map(self.known.__getitem__, pieces))
 
-    def batches(self, texts: list[str], chars: int = 1 << 21) -> Iterator[list[list]]:
+    def batches(self, texts: list[str], chars: int = 1 << 20) -> Iterator[list[list]]:
         """Pieces of a few texts at a time, all their words in the store."""
         group: list[list] = []
         size = 0

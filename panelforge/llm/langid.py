@@ -92,7 +92,7 @@ class LanguageModel:
     table: np.ndarray  # buckets x languages, log probabilities
     allowed: np.ndarray  # scripts x languages
     penalty: float
-    max_words: int = 400_000
+    max_words: int = 150_000
     known: dict = field(default_factory=dict)
     scores: np.ndarray | None = None
 
@@ -207,7 +207,7 @@ def judge(texts: list, model: LanguageModel) -> list[tuple]:
     return out
 
 
-def judged(texts: list, model: LanguageModel, chars: int = 1 << 22) -> list[tuple]:
+def judged(texts: list, model: LanguageModel, chars: int = 1 << 20) -> list[tuple]:
     """``judge`` over a few texts at a time."""
     out, group, size = [], [], 0
     for text in texts:
