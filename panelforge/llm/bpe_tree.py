@@ -199,9 +199,12 @@ class Encoder:
             self._ready(group)
             yield group
 
+    def clear(self) -> None:
+        self.known.clear()
+
     def _ready(self, group: list[list]) -> None:
         if len(self.known) > self.max_words:
-            self.known.clear()
+            self.clear()
         self.learn(set().union(*group))
 
 
@@ -212,12 +215,13 @@ class DigestEncoder(Encoder):
         super().__init__(path, **limits)
         self.text: dict = {}
 
+    def clear(self) -> None:
+        super().clear()
+        self.text.clear()
+
     def learn(self, words: Iterable) -> None:
-        fresh = set(words).difference(self.text)
+        fresh = set(words).difference(self.known)
         super().learn(fresh)
-        if len(self.text) > len(self.known):
-            self.text = {}
-            fresh = self.known
         token = self.vocab.token.__getitem__
         for word in fresh:
             self.text[word] = " ".join(map(token, np.frombuffer(self.known[word], dtype="<u4").tolist()))

@@ -45,6 +45,6 @@ def connected_components(links: DataFrame, src: str = "src", dst: str = "dst") -
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
         if mark == seen:
             return now.select(F.col("src").alias("id"), F.col("dst").alias("component"))
-        after = materialize(_downhill(_small_star(_downhill(_large_star(now)))))
+        after = materialize(_downhill(_small_star(_downhill(_large_star(now)))), clean=False)
         discard(now)
         now, seen = after, mark

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,14 +24,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more.
 
+    The first round frees Python's handles, the second what the JVM held for them; the cleaner works meanwhile."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.2)
 
-def materialize(df: DataFrame) -> DataFrame:
+
+def materialize(df: DataFrame, clean: bool = True) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and no executor holds the only copy."""
-    release(df.sparkSession)
+    if clean:
+        release(df.sparkSession)
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/panelforge-{uuid.uuid4().hex}"
     df.write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)

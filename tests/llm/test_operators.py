@@ -305,6 +305,15 @@ def test_encoding_of_any_characters(library):
     assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_full_store_is_emptied(library):
+    texts = [f"alpha beta{i} gamma{i % 7}" for i in range(50)]
+    encoder = bpe_tree.DigestEncoder(PATH, max_words=5)
+    for _ in range(2):
+        for text, pieces in zip(texts, [p for t in texts for g in encoder.batches([t]) for p in [encoder.ids(g[0])]]):
+            assert np.frombuffer(pieces, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(encoder.known) == len(encoder.text) < 20
+
+
 def test_packing(spark, docs, odd, library, empty):
     rows = docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text").where("doc_id is not null").dropDuplicates(["doc_id"]).withColumn("doc_id", F.col("doc_id") + 1_000_000))
     out = packing.pack(rows, PATH, group_tokens=50_000).collect()
