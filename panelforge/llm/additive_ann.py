@@ -124,10 +124,10 @@ def nearest(
     books: int = 12,
     words: int = 256,
     beam: int = 4,
-    rerank: int = 320,
+    rerank: int = 640,
     slack_weight: float = 0.0,
     train_rows: int = 8192,
-    row_chunk: int = 4096,
+    row_chunk: int = 8192,
     query_chunk: int = 512,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
