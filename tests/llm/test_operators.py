@@ -467,6 +467,15 @@ def test_fuzzy_lines_equal_brute_force(spark, docs):
     assert got == {d: sorted(x) for d, x in gone.items()}
 
 
+def test_fuzzy_lines_of_repeated_rows(spark):
+    one, two = "alpha beta gamma delta\nepsilon zeta eta theta\niota kappa lambda mu", "nu xi omicron pi\nrho sigma tau upsilon"
+    other = "phi chi psi omega\nalpha beta gamma delta"
+    rows = [(1, one), (1, one), (2, two), (2, two), (2, two), (3, one + "\nlast of all"), (4, two), (4, other), (None, "no id of mine"), (None, "no id either"), (None, "no id either")]
+    out = fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted((r["doc_id"] or 0, r["text"], r["n_removed"]) for r in out)
+    assert got == sorted([(1, one, 0), (1, one, 0), (2, two, 0), (2, two, 0), (2, two, 0), (3, "last of all", 3), (4, "", 2), (4, "phi chi psi omega", 1), (0, "no id of mine", 0), (0, "no id either", 0), (0, "no id either", 0)])
+
+
 def test_fuzzy_lines_run_no_python(spark, docs, empty):
     assert fuzzy_lines.dedup_lines(empty).count() == 0
     plan = fuzzy_lines.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
