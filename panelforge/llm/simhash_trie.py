@@ -133,9 +133,12 @@ def _join_trees(budget: int, chunk: int = 1 << 18):
         mask, part = frame["mask"].to_numpy(), frame["part"].to_numpy()
         group = np.cumsum(np.r_[False, (mask[1:] != mask[:-1]) | (part[1:] != part[:-1])])
         order = np.lexsort((fps, group))
-        rep = frame["rep"].to_numpy()[order]
-        label = trie_links(group[order], fps[order], budget)
-        at = np.flatnonzero(label != np.arange(len(label)))
+        rep, group, fps = frame["rep"].to_numpy()[order], group[order], fps[order]
+        # two hot parents can deal a row into the same tree; a leaf that holds it twice would never be single
+        fresh = np.r_[True, (group[1:] != group[:-1]) | (fps[1:] != fps[:-1])]
+        kept = np.flatnonzero(fresh)
+        label = kept[trie_links(group[kept], fps[kept], budget)][np.cumsum(fresh) - 1]
+        at = np.flatnonzero(rep != rep[label])
         return pa.RecordBatch.from_arrays([pa.array(rep[at]), pa.array(rep[label[at]])], names=["src", "dst"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

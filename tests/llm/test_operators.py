@@ -377,6 +377,17 @@ def test_hot_trees_lose_no_link(spark):
     assert comp(10) == comp(10**6)
 
 
+def test_near_links_below_two_hot_parents(spark):
+    rng = np.random.default_rng(8)
+    base = int(rng.integers(1 << 62))
+    low = base & (1 << 37) - 1
+    fringe = [low | int(x) << 37 for x in rng.integers(1 << 26, size=40)]
+    fps = [base, base ^ (1 << 38 | 1 << 50 | 1 << 60), *fringe]
+    assert min((x ^ y).bit_count() for i, x in enumerate(fps) for y in fps[max(i + 1, 2) :]) > 3
+    entries = spark.createDataFrame([(int(np.uint64(x).view(np.int64)), i) for i, x in enumerate(fps)], "fp long, rep long")
+    assert {tuple(sorted(r)) for r in simhash_trie.near_links(entries, hot_limit=8).collect()} == {(0, 1)}
+
+
 def test_odd_near_duplicates(spark, odd, empty):
     out = [(r["doc_id"], r["fingerprint"], r["component_id"]) for r in simhash_trie.near_duplicates(odd).collect()]
     assert len(out) == len(ODD)
