@@ -478,6 +478,23 @@ def test_fuzzy_lines_equal_brute_force(spark, docs):
     assert got == {d: sorted(x) for d, x in gone.items()}
 
 
+def test_fuzzy_lines_reach_the_edit_similarity(spark):
+    """Lines with up to a fifth of their words replaced, whatever their SimHashes."""
+    rng = np.random.default_rng(10)
+    words = np.array(["".join(x) for x in rng.choice(list("abcdefghijklmnop"), (4000, 6))])
+    rows, pairs = [], 0
+    for n in [*range(5, 61), 150, 300] * 4:
+        line = rng.choice(words, n)
+        near = line.astype("U16")
+        near[rng.choice(n, n // 5, replace=False)] = [f"other{pairs}x{k}".translate(str.maketrans("0123456789", "qrstuvwxyz")) for k in range(n // 5)]
+        rows += [(2 * pairs, " ".join(line)), (2 * pairs + 1, " ".join(near) + "\nword " + str(words[pairs]))]
+        pairs += 1
+    out = fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    removed = {r["doc_id"]: r["n_removed"] for r in out}
+    assert all(removed[2 * i] == 0 for i in range(pairs))
+    assert sum(removed[2 * i + 1] for i in range(pairs)) >= 0.98 * pairs
+
+
 def test_fuzzy_lines_of_repeated_rows(spark):
     one, two = "alpha beta gamma delta\nepsilon zeta eta theta\niota kappa lambda mu", "nu xi omicron pi\nrho sigma tau upsilon"
     other = "phi chi psi omega\nalpha beta gamma delta"
