@@ -2,55 +2,62 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting that drops the shuffle files of a query as soon as it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or where it is unset (tests) a temporary folder of this session."""
+    """spark.checkpoint.dir, or where it is unset and all runs on one machine (tests) a temporary folder of this session."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    app = spark.sparkContext.applicationId
-    if app not in _own_dirs:
-        _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="panelforge-")
-    return _own_dirs[app]
+    context = spark.sparkContext
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _own_dirs:
+        _own_dirs[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="panelforge-")
+    return _own_dirs[context.applicationId]
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more.
+@contextmanager
+def dropping_shuffles(spark: SparkSession):
+    """Shuffle files of what is written meanwhile go with the end of the write."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
 
-    The first round frees Python's handles, the second what the JVM held for them; the cleaner works meanwhile."""
-    for _ in range(2):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.2)
 
-
-def materialize(df: DataFrame, clean: bool = True) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and no executor holds the only copy."""
-    if clean:
-        release(df.sparkSession)
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/panelforge-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with dropping_shuffles(df.sparkSession):
+        df.write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._panelforge_path = path
     return back
 
 
-def discard(df: DataFrame) -> None:
-    """Delete what ``materialize`` wrote for ``df``; nothing may read it later."""
-    path = getattr(df, "_panelforge_path", None)
-    if path:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(conf).delete(target, True)
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for ``frames``; nothing may read it later."""
+    for df in frames:
+        path = getattr(df, "_panelforge_path", None)
+        if path:
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
 
 
 def tasks(spark: SparkSession) -> int:

@@ -3,6 +3,8 @@
 import hashlib
 import zlib
 
+import collections
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -436,15 +438,10 @@ def brute_lines(rows, budget=3, similarity=0.8):
 
 
 def test_fuzzy_lines_equal_brute_force(spark, docs):
+    """Against all pairs of lines by edit similarity alone."""
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
     lines = brute_lines(rows)
-    distinct = sorted({w for _, w in lines})
-    frame = spark.createDataFrame([(i, list(w)) for i, w in enumerate(distinct)], "i long, words array<string>")
-    hashed = {r["i"]: r["h"] for r in frame.select("i", F.transform("words", lambda w: F.xxhash64(w)).alias("h")).collect()}
-    sim = {}
-    for i, h in hashed.items():
-        bits = np.unpackbits(np.array(h, dtype=np.int64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        sim[i] = int(np.packbits(2 * bits.sum(axis=0) > len(h), bitorder="little").view(np.uint64)[0])
+    distinct = sorted({w for _, w in lines}, key=len)
     label = {w: w for w in distinct}
 
     def far(a, b):
@@ -456,9 +453,16 @@ def test_fuzzy_lines_equal_brute_force(spark, docs):
             prev = now
         return prev[-1]
 
-    at = np.array([sim[i] for i in range(len(distinct))], dtype=np.uint64)
-    pairs = [(int(a), int(b)) for a in range(len(at)) for b in np.flatnonzero(np.bitwise_count(at[a + 1 :] ^ at[a]) <= 3) + a + 1]
-    links = [(distinct[a], distinct[b]) for a, b in pairs if far(distinct[a], distinct[b]) <= int(max(len(distinct[a]), len(distinct[b])) * 0.2 + 1e-9)]
+    # the words that two lines have in common bound their edit distance
+    bags = [collections.Counter(w) for w in distinct]
+    links = []
+    for b in range(len(distinct)):
+        most = int(len(distinct[b]) * 0.2 + 1e-9)
+        for a in range(b - 1, -1, -1):
+            if len(distinct[b]) - len(distinct[a]) > most:
+                break
+            if most and (bags[a] & bags[b]).total() >= len(distinct[b]) - most and far(distinct[a], distinct[b]) <= most:
+                links.append((distinct[a], distinct[b]))
     changed = True
     while changed:
         changed = False
