@@ -9,9 +9,11 @@ throughout, and a piece whose anchor occurs once cannot repeat. One copy of each
 its anchor, where the suffixes are sorted, one bucket (anchor and distance to it) at a time, with long ties resolved
 by precomputed ranks of a difference cover; neighbours that agree in ``LENGTH`` bytes repeat.
 
-Blocks are bounded: an anchor with more than ``block_pieces`` pieces is dealt over several, which then exchange one
-fingerprint for each of their distinct strings. Counts are taken over packed arrays, one entry for each chunk and key,
-so that no group grows with the copies of a passage.
+Blocks are bounded: an anchor with more than ``block_pieces`` pieces is dealt over several by the hash of the piece,
+which then exchange one fingerprint for each of their distinct strings. (Dealing by the distance to the anchor would need
+no exchange, but would send 400 bytes for each piece and range: 80 KB for a piece of 201 starts, against 5 KB at most of
+fingerprints.) Counts and fingerprints travel in packed arrays, one for each chunk or block and segment of the hashes, so
+that neither rows nor groups grow with the copies of a passage.
 
 Defined results: null text is empty text (it comes back as null); a text shorter than ``LENGTH`` loses nothing;
 repeated rows are documents of their own, so their long passages go. Where a removal cuts a character, the kept text
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.llm.bloom_lm import _deal, mix
-from panelforge.llm.scratch import discard, materialize, tasks
+from panelforge.llm.scratch import materialize, tasks
 from panelforge.llm.suffix_blocks import V, equal_runs, sort_block
 
 LENGTH, GRAM = 400, 200
@@ -234,11 +236,25 @@ def _open_pieces(text_col: str, block_pieces: int):
     return run
 
 
-def sort_pieces(rows: dict) -> list[tuple]:
-    """(chunk, number, runs, fp, start, single) of the pieces of some whole blocks.
+#: A distinct string of a block: its fingerprint, where it starts, and whether that start is to be told if others have it.
+STRING = np.dtype([("fp", "<u8"), ("chunk", "<i8"), ("number", "<i4"), ("start", "<i4"), ("open", "<u1")])
 
-    ``runs`` are ranges [a, b) of starts that repeat inside the block; fingerprints stand for the distinct strings of
-    anchors dealt over several blocks."""
+
+def spans_of(owner: np.ndarray, offset: np.ndarray) -> list[tuple[int, list[int]]]:
+    """(owner, [a, b, ...]): runs of neighbouring offsets of each owner; both arrays sorted together."""
+    if not len(owner):
+        return []
+    cut = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (offset[1:] != offset[:-1] + 1)])
+    low, high = offset[cut], offset[np.r_[cut[1:], len(offset)] - 1] + 1
+    edges = np.stack([low, high], axis=1).reshape(-1)
+    first = np.flatnonzero(np.r_[True, np.diff(owner[cut]) != 0])
+    return [(int(owner[cut[a]]), edges[2 * a : 2 * b].tolist()) for a, b in zip(first, np.r_[first[1:], len(cut)])]
+
+
+def sort_pieces(rows: dict) -> tuple[list[tuple], np.ndarray]:
+    """(chunk, number, runs) of the pieces of some whole blocks, and the distinct strings of anchors that several blocks share.
+
+    ``runs`` are ranges [a, b) of starts that repeat inside the block."""
     texts = rows["text"]
     size = np.array([len(t) for t in texts])
     begin = np.cumsum(np.r_[0, -(-size // V) * V])
@@ -251,8 +267,9 @@ def sort_pieces(rows: dict) -> list[tuple]:
     offset = np.arange(n_starts.sum()) - np.repeat(np.cumsum(n_starts) - n_starts, n_starts)
     starts = begin[:-1][owner] + offset
     anchor, salt = np.array(rows["anchor"], dtype=np.int64), np.array(rows["salt"], dtype=np.int64)
+    lead = np.array(rows["lead"], dtype=np.int64)
     block = np.cumsum(np.r_[False, (anchor[1:] != anchor[:-1]) | (salt[1:] != salt[:-1])])
-    bucket = block[owner] * (1 << 20) + (np.array(rows["lead"], dtype=np.int64)[owner] - offset)
+    bucket = block[owner] * (1 << 20) + (lead[owner] - offset)
     order = sort_block(text, total, starts, bucket)
     same = equal_runs(text, starts[order], bucket[order], LENGTH)
     repeated = np.zeros(len(starts), dtype=bool)
@@ -260,34 +277,47 @@ def sort_pieces(rows: dict) -> list[tuple]:
     repeated[order[np.flatnonzero(same) - 1]] = True
 
     single = np.array(rows["single"], dtype=bool)
-    out = []
-    edge = np.flatnonzero(np.diff(np.r_[0, (repeated & single[owner]).astype(np.int8), 0]))
-    edges = np.unique(np.r_[edge, np.cumsum(n_starts)[:-1]]) if len(starts) else edge
-    runs: dict[int, list[int]] = {}
-    for a, b in zip(edges, edges[1:]):
-        if repeated[a] and single[owner[a]]:
-            runs.setdefault(int(owner[a]), []).extend((int(offset[a]), int(offset[a] + b - a)))
-    out += [(rows["chunk"][i], rows["number"][i], r, None, None, None) for i, r in runs.items()]
-    shared = np.array(rows["over"])[owner[order]] > 0
-    for i in order[np.flatnonzero(~same & shared)]:
-        o = owner[i]
-        fp = hashlib.blake2b(text[starts[i] : starts[i] + LENGTH].tobytes(), digest_size=16, key=int(offset[i] - rows["lead"][o]).to_bytes(8, "little", signed=True)).digest()
-        out.append((rows["chunk"][o], rows["number"][o], None, fp, int(offset[i]), bool(single[o] and not repeated[i])))
-    return out
-
-
-_SORTED = "chunk long, number long, runs array<int>, fp binary, start long, single boolean"
-
-
-def _sort_blocks(block_bytes: int):
+    told = np.flatnonzero(repeated & single[owner])
+    runs = [(rows["chunk"][i], rows["number"][i], r) for i, r in spans_of(owner[told], offset[told])]
+    lone = order[np.flatnonzero(~same & (np.array(rows["over"])[owner[order]] > 0))]
+    strings = np.empty(len(lone), dtype=STRING)
+    if len(lone):
+        own, at = owner[lone], starts[lone]
+        strings["fp"] = mix(Hasher(text).between(at, at + LENGTH) + mix(anchor[own].view(np.uint64) + (lead[own] - offset[lone]).astype(np.uint64)))
+        strings["chunk"], strings["number"] = np.array(rows["chunk"], dtype=np.int64)[own], np.array(rows["number"])[own]
+        strings["start"], strings["open"] = offset[lone], single[own] & ~repeated[lone]
+    return runs, strings
+
+
+def shared_strings(table: pa.Table) -> pa.Table:
+    """(chunk, number, runs): the starts to be told whose string several blocks have, from one segment of fingerprints."""
+    rows = np.concatenate([np.frombuffer(x, dtype=STRING) for x in table.column("strings").to_pylist()])
+    _, place, times = np.unique(rows["fp"], return_inverse=True, return_counts=True)
+    rows = rows[(times[place] > 1) & (rows["open"] == 1)]
+    rows = rows[np.lexsort((rows["start"], rows["number"], rows["chunk"]))]
+    _, owner = np.unique(rows[["chunk", "number"]], return_inverse=True)
+    first = np.searchsorted(owner, np.arange(owner.max(initial=-1) + 1))
+    out = [(int(rows["chunk"][first[i]]), int(rows["number"][first[i]]), r) for i, r in spans_of(owner, rows["start"].astype(np.int64))]
+    return pa.Table.from_batches([_rows(out, ["chunk", "number", "runs"], {"runs": pa.list_(pa.int32())})])
+
+
+_SORTED = "chunk long, number long, runs array<int>, segment long, strings binary"
+
+
+def _sort_blocks(block_bytes: int, bits: int):
     def run(batches):
         columns = ["anchor", "salt", "over", "chunk", "number", "lead", "single", "text"]
-        kinds = {"runs": pa.list_(pa.int32()), "single": pa.bool_(), **_BLOBS}
+        kinds = {"runs": pa.list_(pa.int32()), "strings": pa.binary()}
         held: dict[str, list] = {c: [] for c in columns}
         size = 0
 
         def table(part: dict) -> pa.RecordBatch:
-            return _rows(sort_pieces(part), ["chunk", "number", "runs", "fp", "start", "single"], kinds)
+            runs, strings = sort_pieces(part)
+            rows = [(*r, None, None) for r in runs]
+            strings = strings[np.argsort(strings["fp"])]
+            segment, cut = _deal(strings["fp"], bits)
+            rows += [(None, None, None, s, strings[a:b].tobytes()) for s, a, b in zip(segment.tolist(), cut, cut[1:])]
+            return _rows(rows, ["chunk", "number", "runs", "segment", "strings"], kinds)
 
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in columns)):
@@ -316,9 +346,8 @@ def dedup_passages(docs: DataFrame, text_col: str = "text", chunk_bytes: int = 1
     schema = "anchor long, salt long, over long, chunk long, number long, lead long, single boolean, text binary"
     pieces = chunks.join(parts, "chunk").mapInArrow(_open_pieces(text_col, block_pieces), schema)
     blocks = pieces.repartition(tasks(spark), "anchor", "salt").sortWithinPartitions("anchor", "salt")
-    found = materialize(blocks.mapInArrow(_sort_blocks(block_bytes), _SORTED))
-    strings = found.where("fp is not null").groupBy("fp").agg(F.collect_list(F.struct("chunk", "number", "start", "single")).alias("met")).where(F.size("met") > 1)
-    across = strings.select(F.explode("met").alias("m")).where("m.single").select("m.chunk", "m.number", F.array(F.col("m.start").cast("int"), (F.col("m.start") + 1).cast("int")).alias("runs"))
+    found = materialize(blocks.mapInArrow(_sort_blocks(block_bytes, bits), _SORTED))
+    across = found.where("strings is not null").groupBy("segment").applyInArrow(shared_strings, "chunk long, number long, runs array<int>")
     runs = found.where("runs is not null").select("chunk", "number", "runs").unionByName(across)
     runs = runs.groupBy("chunk").agg(F.collect_list(F.struct("number", "runs")).alias("runs"))
     done = parts.join(runs, "chunk", "left")

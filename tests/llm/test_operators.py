@@ -1,10 +1,9 @@
 """Training-data operators against brute force, and their defined results for odd inputs."""
 
+import collections
 import hashlib
 import zlib
 
-import collections
-
 import numpy as np
 import public_tokenizers
 import pytest
@@ -116,6 +115,20 @@ def test_passages_of_nothing(spark, empty):
     assert out.count() == 0 and out.columns[: len(empty.columns)] == empty.columns
 
 
+def test_passages_of_a_hot_group(spark):
+    """Near copies of one text, whose anchors are dealt over several blocks."""
+    rng = np.random.default_rng(8)
+    base = "".join(rng.choice(list("abcdefgh "), 1500))
+    texts = []
+    for _ in range(120):
+        at = sorted(rng.choice(1500, 3, replace=False))
+        texts.append(base[: at[0]] + "X" * int(rng.integers(0, 3)) + base[at[0] : at[1]] + str(rng.integers(0, 10**6)) + base[at[1] :])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    out = {r["doc_id"]: r for r in suffix_dedup.dedup_passages(df, chunk_bytes=20_000, block_pieces=8).collect()}
+    for i, w in enumerate(brute_passages([t.encode() for t in texts])):
+        assert (out[i]["n_bytes"], out[i]["n_removed"], out[i]["n_spans"], out[i]["kept_sha256"]) == w, i
+
+
 def test_block_sort_is_a_suffix_sort():
     rng = np.random.default_rng(1)
     size = 13 * 120
@@ -267,6 +280,14 @@ def test_odd_languages(spark, odd, docs, empty):
     assert out[1] == out[2] == out[7] == out[8] == "und" and out[3] != "und"
     assert langid.identify(empty, docs).count() == 0
     assert {r["lang_pred"] for r in langid.identify(odd, empty).collect()} == {"und"}
+    strange = spark.createDataFrame([(i, t) for i, t in enumerate(["½ ²", "①②", "Ⅷ 3", "٣ ۴", "_ - _", "́ ̂"])], "doc_id long, text string")
+    assert {r["lang_pred"] for r in langid.identify(strange, docs).collect()} == {"und"}
+    assert langid.words_in("हिन्दी भाषा ภาษาไทย cafe\u0301 ½x²y") == ["हिन्दी", "भाषा", "ภาษาไทย", "cafe\u0301", "x", "y"]
+    # with nothing learned only texts without a letter go
+    unlabelled = docs.select("doc_id", "text", F.lit(None).cast("string").alias("lang"))
+    assert langid.keep_identified(unlabelled, unlabelled).count() == docs.where("text rlike '[a-zA-Z]'").count()
+    same = langid.identify(docs, docs.withColumn("lang", F.when(F.col("lang") == "de", "und").otherwise(F.col("lang"))))
+    assert same.where("lang_pred = 'de'").count() == 0
     kept = langid.keep_identified(odd, docs)
     assert kept.columns == odd.columns and kept.where("doc_id = 3").count() == 2
 
