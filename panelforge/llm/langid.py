@@ -5,25 +5,32 @@ of each language (chosen by a hash of their id). A word's script leaves the lang
 for a language is the mean log probability of its n-grams times a bounded weight. The best path over a document's words
 pays ``penalty`` for each change of language. The language with most letters is the document's, the share its score.
 
-Defined results: null text, or text without a letter, is ``und`` with score 0 and no spans. A word in a script that no
-learned language uses leaves all languages open. Ties go to the language that sorts first. With no labelled row every
-document is ``und``. Repeated rows are judged alike; texts of any length are read whole.
+Defined results: null text, or text without a letter, is ``und`` with score 0 and no spans; letters are those of
+Unicode, so digits, fractions and circled numbers are none, and marks belong to the word of the letter they follow. A
+word in a script that no learned language uses leaves all languages open. Ties go to the language that sorts first. The
+labels null and ``und`` teach nothing; with no other label every document is ``und``, and ``keep_identified`` then keeps
+those with a letter. Repeated rows are judged alike; texts of any length are read whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.bpe_tree import _field
+from panelforge.llm.bpe_tree import _LETTER, BEYOND_LATIN, _field
+from panelforge.llm.scratch import text_slices
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+#: The same pattern for texts up to U+024F, where the standard library's engine is twice as fast.
+LATIN_WORD = re.compile(f"[{_LETTER}]+")
 ORDERS = (1, 2, 3, 4)
 #: Score of a language that does not use the word's script.
 EXCLUDED = -1000.0
@@ -58,6 +65,12 @@ def scripts_of(codes: np.ndarray) -> np.ndarray:
     return np.where((codes >= first[at]) & (codes <= last[at]), script[at], 0)
 
 
+def words_in(text: str | None) -> list[str]:
+    """Lower-case words: a letter with the letters and marks that follow."""
+    text = (text or "").lower()
+    return (WORD if BEYOND_LATIN.search(text) else LATIN_WORD).findall(text)
+
+
 def word_grams(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bucket of each n-gram, the word it belongs to, and the script of each word's first letter."""
     text = " " + " ".join(words) + " "
@@ -92,7 +105,8 @@ class LanguageModel:
     table: np.ndarray  # buckets x languages, log probabilities
     allowed: np.ndarray  # scripts x languages
     penalty: float
-    max_words: int = 150_000
+    max_chars: int = 1 << 20
+    held: int = 0
     known: dict = field(default_factory=dict)
     scores: np.ndarray | None = None
 
@@ -108,14 +122,16 @@ class LanguageModel:
         return np.where(self.allowed[script], score, EXCLUDED).astype(np.float32)
 
     def index(self, words: set) -> None:
-        if len(self.known) > self.max_words:
-            self.known, self.scores = {}, None
+        """Take up the words that are not in the store, which is emptied first where it holds ``max_chars``."""
+        if self.held > self.max_chars:
+            self.known, self.scores, self.held = {}, None, 0
         fresh = [w for w in words if w not in self.known]
         if fresh:
             base = len(self.known)
             self.known.update(zip(fresh, range(base, base + len(fresh))))
-            made = self.word_scores(fresh)
-            self.scores = made if self.scores is None else np.concatenate([self.scores, made])
+            self.held += sum(map(len, fresh))
+            made = [self.word_scores(part) for part in _parts(fresh, 1 << 16)]
+            self.scores = np.concatenate(made if self.scores is None else [self.scores, *made])
 
     def path(self, emissions: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Best language of each word; rows of ``emissions`` are the words of documents one after the other."""
@@ -147,9 +163,22 @@ class LanguageModel:
         return state
 
 
+def _parts(words: Iterable[str], chars: int):
+    """Lists of words of about ``chars`` characters."""
+    part, size = [], 0
+    for word in words:
+        part.append(word)
+        size += len(word)
+        if size >= chars:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def train(docs: DataFrame, train_rows: int, buckets: int, penalty: float, id_col: str, text_col: str, lang_col: str) -> LanguageModel:
     """Model of the labelled ``docs``: n-gram counts summed by Spark, languages x buckets numbers to the driver."""
-    rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    rows = docs.where(F.col(text_col).isNotNull() & (F.col(lang_col) != "und"))
     sizes = {r["lang"]: r["count"] for r in rows.groupBy(F.col(lang_col).alias("lang")).count().collect()}
     languages = sorted(sizes)
     if not languages:
@@ -160,15 +189,19 @@ def train(docs: DataFrame, train_rows: int, buckets: int, penalty: float, id_col
 
     def count(batches):
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lang in sorted(set(langs)):
-                words = [w for x, t in zip(langs, texts) if x == lang for w in WORD.findall(t.lower())]
-                if not words:
-                    continue
-                gram, times = np.unique(word_grams(words, buckets)[0], return_counts=True)
-                script, letters = np.unique(scripts_of(np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)), return_counts=True)
+            langs = batch.column(0).to_pylist()
+            grams = {lang: np.zeros(buckets, np.int64) for lang in sorted(set(langs))}
+            letters = {lang: np.zeros(len(SCRIPTS) + 1, np.int64) for lang in grams}
+            for first, texts in text_slices(batch, 1):
+                for lang, text in zip(langs[first:], texts):
+                    for words in _parts(words_in(text), 1 << 16):
+                        grams[lang] += np.bincount(word_grams(words, buckets)[0], minlength=buckets)
+                        codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+                        letters[lang] += np.bincount(scripts_of(codes), minlength=len(SCRIPTS) + 1)
+            for lang in grams:
+                gram, script = np.flatnonzero(grams[lang]), np.flatnonzero(letters[lang])
                 keys = np.concatenate([gram, -1 - script])
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys), pa.array(np.concatenate([times, letters]))], names=["lang", "key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(np.concatenate([grams[lang][gram], letters[lang][script]]))], names=["lang", "key", "n"])
 
     counts = sample.mapInArrow(count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
     table, letters = np.zeros((buckets, len(languages))), np.zeros((len(SCRIPTS) + 1, len(languages)))
@@ -186,7 +219,7 @@ def judge(texts: list, model: LanguageModel) -> list[tuple]:
     """(language, score, spans) of each text."""
     if not model.languages:
         return [("und", 0.0, [])] * len(texts)
-    words = [WORD.findall(t.lower()) if t else [] for t in texts]
+    words = [words_in(t) for t in texts]
     model.index(set().union(*words))
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     flat = np.fromiter((model.known[w] for ws in words for w in ws), dtype=np.int64, count=lengths.sum())
@@ -207,16 +240,9 @@ def judge(texts: list, model: LanguageModel) -> list[tuple]:
     return out
 
 
-def judged(texts: list, model: LanguageModel, chars: int = 1 << 20) -> list[tuple]:
-    """``judge`` over a few texts at a time."""
-    out, group, size = [], [], 0
-    for text in texts:
-        group.append(text)
-        size += len(text or "")
-        if size > chars:
-            out += judge(group, model)
-            group, size = [], 0
-    return out + judge(group, model) if group else out
+def _model_of(model: LanguageModel):
+    """The task's own copy of a broadcast model, so that its store of words goes with the task."""
+    return LanguageModel(model.languages, model.table, model.allowed, model.penalty)
 
 
 def identify(
@@ -233,12 +259,12 @@ def identify(
     shared = docs.sparkSession.sparkContext.broadcast(train(labelled, train_rows, buckets, penalty, id_col, text_col, lang_col))
 
     def run(batches):
-        model = shared.value
+        model = _model_of(shared.value)
         kind = pa.list_(pa.struct([("first_word", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
         for batch in batches:
-            out = judged(batch.column(1).to_pylist(), model)
-            langs, scores, spans = zip(*out) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, kind)], names=[id_col, "lang_pred", "score", "spans"])
+            for first, texts in text_slices(batch, 1):
+                langs, scores, spans = zip(*judge(texts, model))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, kind)], names=[id_col, "lang_pred", "score", "spans"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"{_field(docs, id_col)}, lang_pred string, score double, spans array<struct<first_word:int,words:int,lang:string>>")
 
@@ -249,13 +275,15 @@ def held_out(id_col: str = "doc_id", parts: int = 4, part: int = 2):
 
 
 def keep_identified(docs: DataFrame, labelled: DataFrame, train_rows: int = 4000, buckets: int = 1 << 16, penalty: float = 6.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, with all columns, but those without a language."""
+    """The rows of ``docs``, with all columns, but those without a language; without a letter, where no language was learned."""
     shared = docs.sparkSession.sparkContext.broadcast(train(labelled, train_rows, buckets, penalty, id_col, text_col, lang_col))
     at = docs.columns.index(text_col)
 
     def run(batches):
+        model = _model_of(shared.value)
         for batch in batches:
-            keep = [lang != "und" for lang, _, _ in judged(batch.column(at).to_pylist(), shared.value)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            for first, texts in text_slices(batch, at):
+                keep = [lang != "und" for lang, _, _ in judge(texts, model)] if model.languages else [bool(words_in(t)) for t in texts]
+                yield batch.slice(first, len(texts)).filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
