@@ -5,7 +5,7 @@ starts at that position, so the root is the leftmost pair of the lowest rank. A
 and their ancestors. Rows drop out when no mergeable pair is left. All rows of a batch advance together in numpy.
 
 Null texts are empty texts, and these have no tokens. Rows are independent: ties, repeated rows and null ids pass
-through unchanged. Very long words only enlarge the tree of their own batch.
+through unchanged, and an empty table gives no rows. Very long words only enlarge the tree of their own batch.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.llm.scratch import text_slices
+
 #: Pattern of the vocabulary file's splitter, with its white space spelled out.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 #: The same pattern for texts up to U+024F, where the standard library's engine is twice as fast.
@@ -122,10 +124,15 @@ def merge_rows(vocab: Vocabulary, ids: np.ndarray, count: np.ndarray) -> np.ndar
 
 
 class Encoder:
-    """Texts to ids, word by word, with a bounded store of words met before."""
+    """Texts to ids, word by word, with a store of words met before that is emptied beyond ``max_bytes``.
+
+    ``WORD_BYTES`` are counted for each word besides its own and its ids'."""
 
-    def __init__(self, path: str, max_words: int = 200_000, batch_cells: int = 1 << 20):
-        self.vocab, self.max_words, self.batch_cells = vocabulary(path), max_words, batch_cells
+    WORD_BYTES = 200
+
+    def __init__(self, path: str, max_bytes: int = 48 << 20, batch_cells: int = 1 << 20):
+        self.vocab, self.max_bytes, self.batch_cells = vocabulary(path), max_bytes, batch_cells
+        self.held = 0
         self.known: dict = {}  # piece -> its ids as little-endian unsigned 32-bit integers
 
     def normal(self, text: str) -> str:
@@ -179,6 +186,7 @@ class Encoder:
         for word, end in zip(words, ends.tolist()):
             self.known[word] = flat[first:end]
             first = end
+        self.held += len(raw) + len(flat) + self.WORD_BYTES * len(words)
 
     def ids(self, pieces: list) -> bytes:
         """Id bytes of a text whose pieces are in the store."""
@@ -201,9 +209,10 @@ class Encoder:
 
     def clear(self) -> None:
         self.known.clear()
+        self.held = 0
 
     def _ready(self, group: list[list]) -> None:
-        if len(self.known) > self.max_words:
+        if self.held > self.max_bytes:
             self.clear()
         self.learn(set().union(*group))
 
@@ -211,6 +220,8 @@ class Encoder:
 class DigestEncoder(Encoder):
     """Encoder that also stores the decoded text of each piece, so that a document is two joins."""
 
+    WORD_BYTES = 400
+
     def __init__(self, path: str, **limits):
         super().__init__(path, **limits)
         self.text: dict = {}
@@ -239,11 +250,11 @@ def encode_ids(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     def run(batches):
         encoder = encoder_of(Encoder, tokenizer)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            ids = [encoder.ids(pieces) for group in encoder.batches(texts) for pieces in group]
-            ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-            flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), flat)], names=[id_col, "ids"])
+            for first, texts in text_slices(batch, 1):
+                ids = [encoder.ids(pieces) for group in encoder.batches([t or "" for t in texts]) for pieces in group]
+                ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+                flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.ListArray.from_arrays(pa.array(ends), flat)], names=[id_col, "ids"])
 
     source = docs.select(id_col, text_col)
     return source.mapInArrow(run, f"{_field(docs, id_col)}, ids array<int>")
@@ -267,10 +278,9 @@ def encode_digest(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
     def run(batches):
         encoder = encoder_of(DigestEncoder, tokenizer)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
             count, ids_sha, text_sha = [], [], []
-            for group in encoder.batches(texts):
-                for pieces in group:
+            for _, texts in text_slices(batch, 1):
+                for pieces in (p for group in encoder.batches([t or "" for t in texts]) for p in group):
                     raw = encoder.ids(pieces)
                     count.append(len(raw) // 4)
                     ids_sha.append(hashlib.sha256(raw).hexdigest())

@@ -6,7 +6,7 @@ input. In a group a document gives as many whole sequences as it can; the rests
 lowest cost that still has room. Where none has, the rest is cut over the cheapest open sequences. Capacities are
 ``length`` each, and powers of two for what is left of the group, so that no sequence needs padding.
 
-Null texts are empty texts: their only id is the end token. Equal, repeated and null ids are documents of their own.
+Null texts are empty texts: their only id is the end token; an empty table gives no rows. Equal, repeated and null ids are documents of their own.
 Sequence ids combine the task's number and a counter; a repeated task gives the same ids to the same rows.
 """
 
@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from panelforge.llm.bpe_tree import Encoder, _field, encoder_of
+from panelforge.llm.scratch import text_slices
 
 COLUMNS = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -92,8 +93,8 @@ def pack(
         for batch in batches:
             kind = batch.schema.field(0).type
             ids, at = batch.column(0).to_pylist(), 0
-            for group in encoder.batches([t or "" for t in batch.column(1).to_pylist()]):
-                for pieces in group:
+            for _, texts in text_slices(batch, 1):
+                for pieces in (p for group in encoder.batches([t or "" for t in texts]) for p in group):
                     held.append(encoder.ids(pieces) + end)
                     held_ids.append(ids[at])
                     at += 1

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Spark's setting that drops the shuffle files of a query as soon as it has ended.
@@ -60,6 +62,18 @@ def discard(*frames: DataFrame) -> None:
             target.getFileSystem(conf).delete(target, True)
 
 
+def text_slices(batch, column: int, size: int = 1 << 20):
+    """(first row, texts) of a few rows of an Arrow batch at a time, of about ``size`` bytes, so that no batch is held twice."""
+    texts = batch.column(column)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(ends):
+        before = int(ends[first - 1]) if first else 0
+        stop = max(first + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield first, texts.slice(first, stop - first).to_pylist()
+        first = stop
+
+
 def tasks(spark: SparkSession) -> int:
     """Shuffle partitions of the session, the task count of keyed Python stages."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
