@@ -1,14 +1,16 @@
 """Language-model scores from a log-frequency Bloom filter of quantised n-gram counts.
 
-A count c of an n-gram is stored as level 1 + floor(log_base(c / least)): the n-gram is inserted once for each level up
-to its own, so repeated membership probes, level after level until one fails, give the level back. The probability of
-a word w after v is weight * B / C + (1 - weight) * P1, where B is the least count of the bigram's level, C the largest
-count of the context's level and P1 = (U + 1) / (Z + V + 1) with U the least count of the word's level and Z the sum
-of U over the vocabulary; so probabilities never sum to more than one, but for the filter's false positives.
-
-The filter is dealt into segments by the leading bits of an n-gram's hash, so a task builds whole segments. Its size is
-fixed by ``filter_bits``; where more n-grams are counted than fit, the least count that is stored doubles until they do.
-Only filters of that size are broadcast. All counts are taken over all training documents.
+A count c of an n-gram is stored as level 1 + floor(log_base(c)): the n-gram is inserted once for each level up to its
+own, so repeated membership probes, level after level until one fails, give the level back. Every n-gram that was
+counted is stored. The probability of a word w after v is (B + prior * P1) / (C + prior), where B is the least count of
+the bigram's level, C the largest count of the context's level and P1 = (U + 1) / (Z + V + 1) with U the least count of
+the word's level and Z the sum of U over the vocabulary; so probabilities never sum to more than one, but for the
+filter's false positives. A context that was never met has C = 0, which leaves P1.
+
+The filter is dealt into segments by the leading bits of an n-gram's hash; a task builds whole segments, each of as many
+bits as its n-grams need. A filter of at most ``broadcast_bytes`` is broadcast to the workers. A larger one stays on the
+cluster: each chunk's probes are dealt to the segments and the levels come back, as words are always probed; scores are
+the same either way. All counts are taken over all training documents.
 
 Texts are tokenised once into chunks of about ``chunk_tokens`` tokens with a local dictionary; from then on only packed
 arrays are shuffled: each chunk's word and bigram counts dealt by hash, and the words' totals back to their chunk.
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.llm.langid import held_out
-from panelforge.llm.scratch import discard, materialize
+from panelforge.llm.scratch import materialize, text_slices
 
 #: Hash of the end token: that of a text which no word can have.
 END = xxhash.xxh64_intdigest(b" ")
@@ -64,57 +66,65 @@ def unpack_ids(blob: bytes) -> np.ndarray:
 
 
 class LogBloom:
-    """Segments of a filter by leading hash bits; ``least`` is the count of level 1."""
+    """Segments of a filter by leading hash bits, end to end in ``flat``; segment s begins at byte ``first[s]``."""
+
+    def __init__(self, flat: np.ndarray, first: np.ndarray, base: float, probes: int):
+        self.flat, self.first, self.base, self.probes = flat, first, base, probes
 
-    def __init__(self, segments: np.ndarray, base: float, least: int, probes: int):
-        self.segments, self.base, self.least, self.probes = segments, base, least, probes
+    @staticmethod
+    def joined(blobs: dict[int, bytes], segments: int, base: float, probes: int) -> LogBloom:
+        sizes = [len(blobs.get(s, b"")) for s in range(segments)]
+        flat = np.frombuffer(b"".join(blobs.get(s, b"") for s in range(segments)), dtype=np.uint8)
+        return LogBloom(flat, np.cumsum([0, *sizes]), base, probes)
 
     @staticmethod
-    def positions(keys: np.ndarray, level: int, probes: int, bits: int) -> Iterator[np.ndarray]:
+    def positions(keys: np.ndarray, level: int, probes: int, bits: np.ndarray) -> Iterator[np.ndarray]:
         first = mix(keys + np.uint64(level * 0x9E3779B97F4A7C15 % (1 << 64)))
         step = mix(first ^ np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
         for i in range(probes):
-            yield (first + np.uint64(i) * step) % np.uint64(bits)
+            yield ((first + np.uint64(i) * step) % bits).astype(np.int64)
 
     @staticmethod
-    def levels(counts: np.ndarray, base: float, least: int) -> np.ndarray:
-        ratio = np.maximum(counts, 1) / least
-        return np.where(counts >= least, 1 + np.floor(np.log(np.maximum(ratio, 1)) / np.log(base) + 1e-9), 0).astype(np.int64)
+    def levels(counts: np.ndarray, base: float) -> np.ndarray:
+        return np.where(counts > 0, 1 + np.floor(np.log(np.maximum(counts, 1)) / np.log(base) + 1e-9), 0).astype(np.int64)
 
     @classmethod
-    def segment(cls, keys: np.ndarray, counts: np.ndarray, base: float, least: int, probes: int, bits: int) -> bytes:
+    def segment(cls, keys: np.ndarray, counts: np.ndarray, base: float, probes: int, bits_per_key: int) -> bytes:
         """One segment that holds the given n-grams."""
-        level = cls.levels(counts, base, least)
-        out = np.zeros(bits, dtype=bool)
+        level = cls.levels(counts, base)
+        size = max(8, -(-int(level.sum()) * bits_per_key // 8))
+        out = np.zeros(8 * size, dtype=bool)
         for j in range(1, int(level.max(initial=0)) + 1):
-            for at in cls.positions(keys[level >= j], j, probes, bits):
-                out[at.astype(np.int64)] = True
+            for at in cls.positions(keys[level >= j], j, probes, np.uint64(8 * size)):
+                out[at] = True
         return np.packbits(out, bitorder="little").tobytes()
 
     def level_of(self, hashes: np.ndarray) -> np.ndarray:
         """Stored level of each n-gram, found by probing level after level."""
-        count, size = self.segments.shape
-        shift = np.uint64(64 - (count.bit_length() - 1))
-        segment = (hashes >> shift).astype(np.int64) if count > 1 else np.zeros(len(hashes), np.int64)
-        level, live, keys, flat = np.zeros(len(hashes), np.int64), np.arange(len(hashes)), hashes & LOW48, self.segments.reshape(-1)
+        bits = (len(self.first) - 1).bit_length() - 1
+        segment = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+        begin, size = self.first[segment], np.diff(self.first)[segment]
+        level, live, keys = np.zeros(len(hashes), np.int64), np.flatnonzero(size), hashes & LOW48
         while len(live):
             at_level = int(level[live[0]]) + 1
             held = np.arange(len(live))
-            for at in self.positions(keys[live], at_level, self.probes, size * 8):
+            for at in self.positions(keys[live], at_level, self.probes, (8 * size[live]).astype(np.uint64)):
                 at = at[held]
-                byte = flat[segment[live[held]] * size + (at >> np.uint64(3)).astype(np.int64)]
-                held = held[(byte >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+                byte = self.flat[begin[live[held]] + (at >> 3)]
+                held = held[(byte >> (at & 7).astype(np.uint8)) & 1 == 1]
                 if not len(held):
                     break
             live = live[held]
             level[live] = at_level
         return level
 
-    def least_count(self, level: np.ndarray) -> np.ndarray:
-        return np.where(level > 0, np.ceil(self.least * self.base ** (level - 1.0) - 1e-6), 0.0)
 
-    def largest_count(self, level: np.ndarray) -> np.ndarray:
-        return np.maximum(np.ceil(self.least * self.base ** level.astype(float)) - 1, 0.0)
+def least_count(level: np.ndarray, base: float) -> np.ndarray:
+    return np.where(level > 0, np.ceil(base ** (level - 1.0) - 1e-6), 0.0)
+
+
+def largest_count(level: np.ndarray, base: float) -> np.ndarray:
+    return np.maximum(np.ceil(base ** level.astype(float) - 1e-6) - 1, 0.0)
 
 
 # ---- chunks of tokenised text ----
@@ -156,22 +166,16 @@ def tokenised(docs: DataFrame, chunk_tokens: int, id_col: str, text_col: str) ->
         total = 0
         for batch in batches:
             id_type = batch.schema.field(0).type
-            batch_ids, batch_held, texts = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1).to_pylist()
-            group, size, start = [], 0, 0
-            for i, text in enumerate(texts):
-                words = (text or "").encode().lower().split()
-                words.append(b" ")
-                group.append(words)
-                size += len(words)
-                if size >= 1 << 18 or i + 1 == len(texts):
-                    add(group)
-                    ids += batch_ids[start : i + 1]
-                    held += batch_held[start : i + 1]
-                    total += size
-                    group, size, start = [], 0, i + 1
-                    if total >= chunk_tokens:
-                        yield flush()
-                        total = 0
+            batch_ids, batch_held = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for start, texts in text_slices(batch, 1):
+                group = [[*(t or "").encode().lower().split(), b" "] for t in texts]
+                add(group)
+                ids += batch_ids[start : start + len(texts)]
+                held += batch_held[start : start + len(texts)]
+                total += sum(map(len, group))
+                if total >= chunk_tokens:
+                    yield flush()
+                    total = 0
         if ids:
             yield flush()
 
@@ -229,7 +233,7 @@ def _from48(blob: bytes) -> np.ndarray:
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    kinds = {"chunk": pa.int64(), "segment": pa.int64(), "n": pa.int64(), "n_sum": pa.int64()}
+    kinds = {n: pa.int64() for n in ("chunk", "segment", "n", "n_sum", "mass")}
     columns = list(zip(*rows)) if rows else [()] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(c, kinds.get(n, pa.binary())) for c, n in zip(columns, names)], names=names)
 
@@ -240,84 +244,80 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return found, np.bincount(place, weights=counts, minlength=len(found)).astype(np.int64), place
 
 
-def _word_totals(table: pa.Table) -> pa.Table:
-    """Totals of each chunk's words of one segment; the row without a chunk has the segment's words themselves."""
-    hashes = [np.frombuffer(x, dtype=np.uint64) for x in table.column("hashes").to_pylist()]
-    counts = np.concatenate([np.frombuffer(x, dtype="<i4") for x in table.column("counts").to_pylist()])
-    found, total, place = _summed(np.concatenate(hashes), counts)
-    segment = table.column("segment")[0].as_py()
-    cut = np.cumsum([0, *map(len, hashes)])
-    each = total[place]
-    rows = [(c, segment, None, each[a:b].astype("<i8").tobytes(), 0, 0) for c, a, b in zip(table.column("chunk").to_pylist(), cut, cut[1:])]
-    seen = total > 0
-    rows.append((None, segment, (found[seen] & LOW48).tobytes(), total[seen].astype("<i8").tobytes(), int(seen.sum()), int(total.sum())))
-    return pa.Table.from_batches([_batch(rows, ["chunk", "segment", "keys", "totals", "n", "n_sum"])])
+def _word_totals(base: float, probes: int, bits_per_key: int):
+    """Totals and filter levels of each chunk's words of one segment; the row without a chunk has the segment's sums."""
+
+    def run(table: pa.Table) -> pa.Table:
+        hashes = [np.frombuffer(x, dtype=np.uint64) for x in table.column("hashes").to_pylist()]
+        counts = np.concatenate([np.frombuffer(x, dtype="<i4") for x in table.column("counts").to_pylist()])
+        found, total, place = _summed(np.concatenate(hashes), counts)
+        segment = table.column("segment")[0].as_py()
+        seen = total > 0
+        bloom = LogBloom.joined({0: LogBloom.segment(found[seen] & LOW48, total[seen], base, probes, bits_per_key)}, 1, base, probes)
+        level = bloom.level_of(found)
+        cut = np.cumsum([0, *map(len, hashes)])
+        each, level_each = total[place].astype("<i8"), level[place].astype(np.uint8)
+        rows = [(c, segment, each[a:b].tobytes(), level_each[a:b].tobytes(), 0, 0, 0) for c, a, b in zip(table.column("chunk").to_pylist(), cut, cut[1:])]
+        rows.append((None, segment, None, None, int(seen.sum()), int(total.sum()), int(least_count(LogBloom.levels(total, base), base).sum())))
+        return pa.Table.from_batches([_batch(rows, ["chunk", "segment", "totals", "levels", "n", "n_sum", "mass"])])
+
+    return run
+
 
+def _bigram_filter(base: float, probes: int, bits_per_key: int):
+    """The filter's segment of all bigrams that were counted for it."""
 
-def _bigram_totals(least: int):
     def run(table: pa.Table) -> pa.Table:
         once = [_from48(x) for x in table.column("once").to_pylist()]
         often = [_from48(x) for x in table.column("often").to_pylist()]
         counts = [np.frombuffer(x, dtype="<i4") for x in table.column("counts").to_pylist()]
-        keys = np.concatenate([*once, *often])
-        found, total, _ = _summed(keys, np.concatenate([np.ones(sum(map(len, once)), np.int64), *counts]))
-        kept = total >= least
-        return pa.Table.from_batches([_batch([(table.column("segment")[0].as_py(), found[kept].tobytes(), total[kept].astype("<i8").tobytes())], ["segment", "keys", "totals"])])
+        found, total, _ = _summed(np.concatenate([*once, *often]), np.concatenate([np.ones(sum(map(len, once)), np.int64), *counts]))
+        bits = LogBloom.segment(found, total, base, probes, bits_per_key)
+        return pa.Table.from_batches([_batch([(table.column("segment")[0].as_py(), bits)], ["segment", "bits"])])
 
     return run
 
 
-def _octaves(batches):
-    """(octave, n): how many counts lie in [2**octave, 2**(octave + 1))."""
-    for batch in batches:
-        for blob in batch.column(0).to_pylist():
-            octave, n = np.unique(np.frexp(np.frombuffer(blob, dtype="<i8").astype(float))[1] - 1, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(octave.astype(np.int64)), pa.array(n)], names=["octave", "n"])
+def _bigrams_of(words: bytes, tokens: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, tokens, the token before each (the end before the first), and hashes of the bigrams."""
+    hashes, tokens = np.frombuffer(words, dtype=np.uint64), unpack_ids(tokens)
+    before = np.r_[np.searchsorted(hashes, np.uint64(END)), tokens[:-1]]
+    return hashes, tokens, before, bigram_hash(hashes[before], hashes[tokens])
 
 
-def build_filter(entries: DataFrame, segments: int, filter_bits: int, bits_per_key: int, base: float, least: int, probes: int) -> LogBloom:
-    """Filter of (segment, keys, totals) rows, of a power of two of bits up to ``filter_bits``, read by the driver."""
-    octaves = {r["octave"]: r["n"] for r in entries.select("totals").mapInArrow(_octaves, "octave long, n long").groupBy("octave").agg(F.sum("n").alias("n")).collect()}
-
-    def keys_at(low: int) -> float:
-        return sum(n * (1 + np.log(max(2.0 ** (k + 1) / low, 1)) / np.log(base)) for k, n in octaves.items() if 2 ** (k + 1) > low)
-
-    while keys_at(least) * bits_per_key > filter_bits:
-        least *= 2
-    bits = 1 << max(13, int(np.ceil(np.log2(max(keys_at(least) * bits_per_key / segments, 1)))))
+def _probes(bits: int):
+    """(chunk, segment, keys): the distinct bigrams of each chunk, dealt to the segments."""
 
     def run(batches):
         for batch in batches:
-            for s, keys, totals in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                yield _batch([(s, LogBloom.segment(np.frombuffer(keys, dtype=np.uint64), np.frombuffer(totals, dtype="<i8"), base, least, probes, bits))], ["segment", "bits"])
+            for chunk, words, tokens in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                found = np.unique(_bigrams_of(words, tokens)[3])
+                segment, cut = _deal(found, bits)
+                yield _batch([(chunk, s, _bytes48(found[a:b] & LOW48)) for s, a, b in zip(segment.tolist(), cut, cut[1:])], ["chunk", "segment", "keys"])
 
-    out = np.zeros((segments, bits // 8), dtype=np.uint8)
-    for row in entries.select("segment", "keys", "totals").mapInArrow(run, "segment long, bits binary").toLocalIterator():
-        out[row["segment"]] |= np.frombuffer(row["bits"], dtype=np.uint8)
-    return LogBloom(out, base, least, probes)
+    return run
 
 
-def stored_mass(entries: DataFrame, bloom: LogBloom) -> float:
-    """Sum of the least counts of all entries' levels."""
-    base, least = bloom.base, bloom.least
+def _probed(base: float, probes: int):
+    """(chunk, segment, levels) of the probes of one segment."""
 
-    def run(batches):
-        for batch in batches:
-            level = LogBloom.levels(np.concatenate([np.frombuffer(x, dtype="<i8") for x in batch.column(0).to_pylist()] or [np.empty(0, np.int64)]), base, least)
-            yield pa.RecordBatch.from_arrays([pa.array([float(LogBloom(np.zeros((1, 8), np.uint8), base, least, 1).least_count(level).sum())])], names=["mass"])
+    def run(asked: pa.Table, segments: pa.Table) -> pa.Table:
+        held = segments.column("bits").to_pylist()
+        bloom = LogBloom.joined({0: held[0]} if held else {}, 1, base, probes)
+        rows = [(c, s, bloom.level_of(_from48(k)).astype(np.uint8).tobytes()) for c, s, k in zip(*(asked.column(n).to_pylist() for n in ("chunk", "segment", "keys")))]
+        return pa.Table.from_batches([_batch(rows, ["chunk", "segment", "levels"])])
 
-    return float(entries.select("totals").mapInArrow(run, "mass double").agg(F.sum("mass")).first()[0] or 0)
+    return run
 
 
 def score_documents(
     docs: DataFrame,
     chunk_tokens: int = 1 << 20,
-    filter_bits: int = 1 << 27,
+    broadcast_bytes: int = 1 << 26,
     bits_per_key: int = 10,
     base: float = 1.5,
-    least_bigram: int = 2,
     probes: int = 5,
-    weight: float = 0.1,
+    prior: float = 300.0,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -328,46 +328,50 @@ def score_documents(
     bits = max(8, int(np.ceil(np.log2(max(chunks.count() / 8, 1)))))
 
     words = chunks.select("chunk", "words", "counts").mapInArrow(_dealt_words(bits), "chunk long, segment long, hashes binary, counts binary")
-    words = materialize(words.groupBy("segment").applyInArrow(_word_totals, "chunk long, segment long, keys binary, totals binary, n long, n_sum long"))
-    size = words.where("chunk is null").agg(F.sum("n").alias("v"), F.sum("n_sum").alias("n")).first()
-    n_train, n_words = int(size["n"] or 0), int(size["v"] or 0)
-    unigrams = build_filter(words.where("chunk is null"), 1 << bits, filter_bits // 4, bits_per_key, base, 1, probes)
+    words = words.groupBy("segment").applyInArrow(_word_totals(base, probes, bits_per_key), "chunk long, segment long, totals binary, levels binary, n long, n_sum long, mass long")
+    words = materialize(words)
+    size = words.where("chunk is null").agg(F.sum("n").alias("v"), F.sum("n_sum").alias("n"), F.sum("mass").alias("mass")).first()
+    n_train, n_words, mass = (int(size[c] or 0) for c in ("n", "v", "mass"))
 
     pairs = chunks.select("n_tokens", "held", "words", "tokens").mapInArrow(_dealt_bigrams(bits), "segment long, once binary, often binary, counts binary")
-    pairs = materialize(pairs.groupBy("segment").applyInArrow(_bigram_totals(least_bigram), "segment long, keys binary, totals binary"))
-    mass = stored_mass(words.where("chunk is null"), unigrams)
-    bigrams = build_filter(pairs, 1 << bits, filter_bits, bits_per_key, base, least_bigram, probes)
-    discard(pairs)
-    shared = spark.sparkContext.broadcast((unigrams, bigrams))
+    pairs = materialize(pairs.groupBy("segment").applyInArrow(_bigram_filter(base, probes, bits_per_key), "segment long, bits binary"))
+    filter_bytes = pairs.agg(F.sum(F.length("bits"))).first()[0] or 0
+    parts = words.where("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("segment", "totals", "levels")).alias("parts"))
+    joined = chunks.select("chunk", "ids", "n_tokens", "held", "words", "tokens").join(parts, "chunk")
+    if filter_bytes <= broadcast_bytes:
+        shared = spark.sparkContext.broadcast(LogBloom.joined({r["segment"]: r["bits"] for r in pairs.toLocalIterator()}, 1 << bits, base, probes))
+        joined = joined.withColumn("joint", F.lit(None).cast("array<struct<segment:bigint,levels:binary>>"))
+    else:
+        shared = None
+        asked = chunks.select("chunk", "words", "tokens").mapInArrow(_probes(bits), "chunk long, segment long, keys binary")
+        told = asked.groupBy("segment").cogroup(pairs.groupBy("segment")).applyInArrow(_probed(base, probes), "chunk long, segment long, levels binary")
+        told = materialize(told)
+        joined = joined.join(told.groupBy("chunk").agg(F.collect_list(F.struct("segment", "levels")).alias("joint")), "chunk")
     floor = np.log10(n_train + n_words + 1.0)
 
+    def gathered(segments: list[dict], name: str, kind: str) -> np.ndarray:
+        return np.frombuffer(b"".join(x[name] for x in sorted(segments, key=lambda x: x["segment"])), dtype=kind)
+
     def run(batches):
-        one, two = shared.value
         for batch in batches:
-            rows = batch.to_pydict()
             for i in range(batch.num_rows):
-                totals = np.concatenate([np.frombuffer(x["totals"], dtype="<i8") for x in sorted(rows["parts"][i], key=lambda x: x["segment"])])
-                hashes, tokens = np.frombuffer(rows["words"][i], dtype=np.uint64), unpack_ids(rows["tokens"][i])
-                sizes = np.array(rows["n_tokens"][i], dtype=np.int64)
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                totals, level = gathered(row["parts"], "totals", "<i8"), gathered(row["parts"], "levels", np.uint8).astype(np.int64)
+                hashes, tokens, before, pair = _bigrams_of(row["words"], row["tokens"])
+                sizes = np.array(row["n_tokens"], dtype=np.int64)
                 starts = np.r_[0, np.cumsum(sizes)[:-1]]
-                level = one.level_of(hashes)
-                prior = (one.least_count(level) + 1) / (mass + n_words + 1.0)
-                context = one.largest_count(level)
-                seen = hashes[tokens]
-                before = np.r_[np.searchsorted(hashes, np.uint64(END)), tokens[:-1]]
-                joint = two.least_count(two.level_of(bigram_hash(hashes[before], seen)))
+                found, place = np.unique(pair, return_inverse=True)
+                pair_level = shared.value.level_of(found) if shared else gathered(row["joint"], "levels", np.uint8).astype(np.int64)
+                single = (least_count(level, base) + 1) / (mass + n_words + 1.0)
+                most = largest_count(level, base)
                 # a bigram is never more frequent than its parts
-                joint = np.minimum(joint, np.minimum(context[before], context[tokens]))
-                after = context[before]
-                share = np.where(after > 0, weight, 0.0)
-                chance = share * joint / np.maximum(after, 1) + (1 - share) * prior[tokens]
+                joint = np.minimum(least_count(pair_level, base)[place], np.minimum(most[before], most[tokens]))
+                chance = (joint + prior * single[tokens]) / (most[before] + prior)
                 known = (totals > 0)[tokens]
                 add = lambda x: np.add.reduceat(x, starts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["ids"][i], batch.schema.field("ids").type.value_type), pa.array(rows["held"][i]), pa.array(sizes), pa.array(add(known.astype(np.int64))), pa.array(np.full(len(sizes), n_train)), pa.array(add((np.log10(totals + 1.0) - floor)[tokens])), pa.array(add(np.log10(chance)))],
+                    [pa.array(row["ids"], batch.schema.field("ids").type.value_type), pa.array(row["held"]), pa.array(sizes), pa.array(add(known.astype(np.int64))), pa.array(np.full(len(sizes), n_train)), pa.array(add((np.log10(totals + 1.0) - floor)[tokens])), pa.array(add(np.log10(chance)))],
                     names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    parts = words.where("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("segment", "totals")).alias("parts"))
-    joined = chunks.select("chunk", "ids", "n_tokens", "held", "words", "tokens").join(parts, "chunk")
     return joined.mapInArrow(run, f"`{id_col}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

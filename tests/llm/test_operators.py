@@ -225,18 +225,54 @@ def test_model_scores(spark, docs):
     assert sum(r["score"] for r in out.values() if r["held_out"]) > sum(r["base_score"] for r in out.values() if r["held_out"])
 
 
+def brute_model(words, held, base, prior):
+    """log10 probability of each text by exact dictionaries of levels."""
+    level = lambda c: 0 if not c else 1 + int(np.floor(np.log(c) / np.log(base) + 1e-9))
+    least = lambda k: 0 if not k else int(np.ceil(base ** (k - 1) - 1e-6))
+    most = lambda k: max(int(np.ceil(base**k - 1e-6)) - 1, 0)
+    one, two = collections.Counter(), collections.Counter()
+    for i, ws in words.items():
+        if not held[i]:
+            one.update(ws)
+            two.update(zip([None, *ws], ws))
+    mass = sum(least(level(c)) for c in one.values())
+    out = {}
+    for i, ws in words.items():
+        total = 0.0
+        for v, w in zip([None, *ws], ws):
+            c, u = most(level(one[v])), most(level(one[w]))
+            joint = min(least(level(two[v, w])), c, u)
+            total += np.log10((joint + prior * (least(level(one[w])) + 1) / (mass + len(one) + 1)) / (c + prior))
+        out[i] = total
+    return out
+
+
+def test_model_equals_exact_counts(spark, docs):
+    """Scores against exact counts, with so many bits that the filter has next to no false positive; both ways to probe."""
+    words = {r["doc_id"]: [*r["text"].encode().lower().split(), None] for r in docs.collect()}
+    want = brute_model(words, {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in words}, 1.5, 300.0)
+    for limit in (1 << 26, 0):
+        out = bloom_lm.score_documents(docs, chunk_tokens=20_000, bits_per_key=80, probes=16, broadcast_bytes=limit).collect()
+        assert {r["doc_id"]: pytest.approx(r["score"], rel=1e-9) for r in out} == want
+    one = {r["doc_id"]: r["score"] for r in bloom_lm.score_documents(docs).collect()}
+    assert {r["doc_id"]: r["score"] for r in bloom_lm.score_documents(docs, broadcast_bytes=0).collect()} == pytest.approx(one, rel=1e-12)
+
+
 def test_filter_gives_levels_back():
     rng = np.random.default_rng(2)
     keys = rng.integers(0, 1 << 63, 5000).astype(np.uint64)
-    counts = rng.integers(2, 500, 5000)
-    bits = 1 << 20
-    blob = bloom_lm.LogBloom.segment(keys & bloom_lm.LOW48, counts, 1.5, 2, 5, bits)
-    one = bloom_lm.LogBloom(np.frombuffer(blob, dtype=np.uint8).reshape(1, -1), 1.5, 2, 5)
+    counts = rng.integers(1, 500, 5000)
+    want = bloom_lm.LogBloom.levels(counts, 1.5)
+    blob = bloom_lm.LogBloom.segment(keys & bloom_lm.LOW48, counts, 1.5, 5, 10)
+    one = bloom_lm.LogBloom.joined({0: blob}, 1, 1.5, 5)
     level = one.level_of(keys)
-    assert (level >= bloom_lm.LogBloom.levels(counts, 1.5, 2)).all()
-    assert (level == bloom_lm.LogBloom.levels(counts, 1.5, 2)).mean() > 0.98
-    assert (one.least_count(level) <= counts * 1.5).mean() > 0.98
+    assert (level >= want).all() and (level == want).mean() > 0.98
+    assert (bloom_lm.least_count(want, 1.5) <= counts).all() and (bloom_lm.largest_count(want, 1.5) >= counts).all()
     assert (one.level_of(rng.integers(0, 1 << 63, 5000).astype(np.uint64)) > 0).mean() < 0.05
+    # dealt over segments, some of them empty
+    parts = {int(s): bloom_lm.LogBloom.segment((keys & bloom_lm.LOW48)[keys >> np.uint64(60) == s], counts[keys >> np.uint64(60) == s], 1.5, 5, 10) for s in np.unique(keys >> np.uint64(60)) if s != 3}
+    level = bloom_lm.LogBloom.joined(parts, 16, 1.5, 5).level_of(keys)
+    assert (level[keys >> np.uint64(60) == 3] == 0).all() and (level >= want)[keys >> np.uint64(60) != 3].all()
 
 
 def test_model_of_odd_texts(spark, odd, empty):
