@@ -70,3 +70,20 @@ def reasons(**rules: Expr) -> Expr:
     parts = {f"p{i}": e for i, e in enumerate(rules.values())}
     text = ", ".join(f"CASE WHEN {{p{i}}} THEN '{name}' END" for i, name in enumerate(rules))
     return both(f"concat_ws(',', {text})", **parts)
+
+
+def safe_datetime(c: str) -> Expr:
+    """ISO date or time; ``Z`` is UTC, an offset is applied, none means UTC."""
+    text = f"replace(trim({c}), 'Z', '+00:00')"
+    pattern = "^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?([+-][0-9]{2}:[0-9]{2})?)?$"
+    m, shifted = matches(text, pattern), matches(text, "T?[0-9]{2}:[0-9]{2}[0-9:.]*[+-][0-9]{2}:[0-9]{2}$")
+    minutes = f"(CAST(substr({text}, -5, 2) AS INTEGER) * 60 + CAST(substr({text}, -2) AS INTEGER)) * (CASE WHEN substr({text}, -6, 1) = '-' THEN -1 ELSE 1 END)"
+    plain = f"try_cast(substr({text}, 1, length({text}) - 6) AS TIMESTAMP) - to_minutes({minutes})"
+    return f"(CASE WHEN {m[0]} THEN try_cast({text} AS TIMESTAMP) END)", f"(CASE WHEN NOT {m[1]} THEN NULL WHEN {shifted[1]} THEN {plain} ELSE try_cast({text} AS TIMESTAMP) END)"
+
+
+def first_present(json: str, *keys: str) -> Expr:
+    """Value, as text, of the first of ``keys`` that the object has."""
+    spark = " ".join(f"WHEN array_contains(json_object_keys({json}), '{k}') THEN get_json_object({json}, '$.{k}')" for k in keys)
+    duck = " ".join(f"WHEN list_contains(json_keys({json}), '{k}') THEN json_extract_string({json}, '$.{k}')" for k in keys)
+    return f"(CASE {spark} END)", f"(CASE WHEN NOT json_valid({json}) THEN NULL {duck} END)"

@@ -45,7 +45,7 @@ BREADTH = (
     )
     .add(
         participation_label=case(
-            ("breadth_score IS NULL", "INSUFFICIENT_DATA"),
+            ("breadth_score IS NULL OR participation_score IS NULL", "INSUFFICIENT_DATA"),
             ("advancer_share >= 0.55 AND breadth_score > 0.2 AND participation_score >= 0.55", "BROAD_STRENGTH"),
             ("decliner_share >= 0.55 AND breadth_score < -0.2 AND participation_score <= 0.45", "BROAD_WEAKNESS"),
             ("breadth_score > 0 AND participation_score < 0.4", "NARROW_PARTICIPATION"),

@@ -1,8 +1,8 @@
 """Price features of every (symbol, day): returns, averages, ranges, volatility, true range, liquidity, trend.
 
-Rows without a close take no part, so that windows count closes; windows that are not full give null. All windows share
-one partitioning and order, hence one exchange and one sort, but for volatility and true range, whose windows count
-returns and ranges that exist.
+Rows without a close take no part, so that windows count closes; windows that are not full give null. Volatility, true
+range and volumes take the last so many values that exist: their windows run over the count of values so far, so that
+rows without one fall out. All windows share one partitioning, hence one exchange; those by count sort anew inside it.
 """
 
 from __future__ import annotations
@@ -22,6 +22,16 @@ def full(aggregate: str, n: int, counted: str = "close") -> str:
     return f"CASE WHEN count({counted}) {rows(n)} = {n} THEN {aggregate} {rows(n)} END"
 
 
+def running(value: str) -> str:
+    """How many values there are up to the row."""
+    return f"count({value}) OVER (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+def existing(aggregate: str, n: int, seen: str) -> str:
+    """Aggregate over the last ``n`` values that exist, ``seen`` being their running count; null while there are fewer."""
+    return f"CASE WHEN {seen} >= {n} THEN {aggregate} OVER (PARTITION BY symbol ORDER BY {seen} RANGE BETWEEN {n - 1} PRECEDING AND CURRENT ROW) END"
+
+
 _EACH = "OVER (PARTITION BY symbol ORDER BY trade_date)"
 WINDOWS = (
     Recipe()
@@ -41,12 +51,15 @@ WINDOWS = (
         **{f"range_{n}d": f"(max_{n} - min_{n}) / nullif(min_{n}, 0)" for n in (20, 60)},
         **{f"drawdown_{n}d": f"(close - max_{n}) / nullif(max_{n}, 0)" for n in (20, 60)},
         true_range="CASE WHEN prev_close IS NULL THEN high - low ELSE greatest(high - low, abs(high - prev_close), abs(low - prev_close)) END",
-        adv_20="CASE WHEN count(dollar_volume) " + rows(20) + " = 20 THEN avg(dollar_volume) " + rows(20) + " END",
-        mean_volume_20="CASE WHEN count(volume) " + rows(20) + " = 20 THEN avg(volume) " + rows(20) + " END",
+    )
+    .add(volumes_seen=running("volume"), returns_seen=running("return_1d"), ranges_seen=running("true_range"))
+    .add(
+        adv_20=existing("avg(dollar_volume)", 20, "volumes_seen"),
+        mean_volume_20=existing("avg(volume)", 20, "volumes_seen"),
+        **{f"volatility_{n}d": existing("stddev_pop(return_1d)", n, "returns_seen").replace(" END", " * sqrt(CAST(252 AS DOUBLE)) END") for n in (20, 60)},
+        atr_14=existing("avg(true_range)", 14, "ranges_seen"),
     )
     .add(
-        **{f"volatility_{n}d": f"CASE WHEN count(return_1d) {rows(n)} = {n} THEN stddev_pop(return_1d) {rows(n)} * sqrt(CAST(252 AS DOUBLE)) END" for n in (20, 60)},
-        atr_14=f"CASE WHEN count(true_range) {rows(14)} = 14 THEN avg(true_range) {rows(14)} END",
         relative_volume_20="volume / nullif(mean_volume_20, 0)",
         # a return of exactly zero counts as missing in the trend, and only there
         r1="nullif(return_1d, 0)",

@@ -49,7 +49,11 @@ SECTOR_DAYS = (
         leader="coalesce(rank_5d <= 3, false)",
         deteriorating="coalesce(rank_change_5d < 0, false) OR coalesce(rank_change_20d < 0, false) OR coalesce(rs_5d < rs_20d, false)",
     )
-    .add(score_rank="row_number() OVER (PARTITION BY trade_date ORDER BY rs_20d DESC NULLS LAST, symbol)")
+    .add(
+        score_rank="row_number() OVER (PARTITION BY trade_date ORDER BY rs_20d DESC NULLS LAST, symbol)",
+        low_rank="row_number() OVER (PARTITION BY trade_date ORDER BY rs_20d NULLS LAST, symbol)",
+        list_rank="row_number() OVER (PARTITION BY trade_date ORDER BY coalesce(momentum_score, -CAST(rank_20d AS DOUBLE)) DESC NULLS LAST, symbol)",
+    )
 )
 SECTOR_COLUMNS = [
     "symbol", "trade_date", *(f"return_{n}d" for n in WINDOWS), *(f"rs_{n}d" for n in WINDOWS), "rank_5d", "rank_20d", "rank_60d",
@@ -68,11 +72,11 @@ DAILY = (
         dispersion="stddev_pop(rs_20d)",
         concentration="CASE WHEN count(rs_20d) > 0 THEN coalesce(sum(CASE WHEN score_rank <= 3 THEN abs(rs_20d) END) / nullif(sum(abs(rs_20d)), 0), 0) END",
         positive_breadth="avg(CASE WHEN rs_20d IS NULL THEN NULL WHEN rs_20d > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)",
-        improving="bool_or(coalesce(rank_change_5d > 0, false) OR coalesce(rank_change_20d > 0, false))",
+        improving="bool_or((coalesce(rank_change_5d > 0, false) OR coalesce(rank_change_20d > 0, false)) AND NOT deteriorating)",
         any_deteriorating="bool_or(deteriorating)",
-        strongest=listed("CASE WHEN score_rank <= 3 THEN symbol END", "score_rank"),
-        weakest=listed("CASE WHEN rs_20d IS NOT NULL THEN symbol END", "-score_rank"),
-        leaders=listed("CASE WHEN leader THEN symbol END", "score_rank"),
+        top_symbols=listed("CASE WHEN rs_20d IS NOT NULL AND score_rank <= 3 THEN symbol END", "score_rank"),
+        bottom_symbols=listed("CASE WHEN rs_20d IS NOT NULL AND low_rank <= 3 THEN symbol END", "low_rank"),
+        leaders=listed("CASE WHEN leader THEN symbol END", "list_rank"),
     )
     .add(
         risk_on=clamp(row_mean("cyclical", "growth")),
@@ -94,5 +98,5 @@ DAILY = (
 )
 DAILY_COLUMNS = [
     "trade_date", "sectors", "scored", "defensive", "cyclical", "growth", "rate_sensitive", "risk_on", "dispersion", "concentration", "positive_breadth",
-    "broad", "narrow", "improving", "any_deteriorating", "strongest", "weakest", "leaders", "rotation_state",
+    "broad", "narrow", "improving", "any_deteriorating", "top_symbols", "bottom_symbols", "leaders", "rotation_state",
 ]

@@ -87,7 +87,7 @@ def register(c: Catalog) -> None:
     c.recipe("breadth_daily", "lineitem", views.BARS, breadth.BREADTH, columns=breadth.COLUMNS, doubles=_except(breadth.COLUMNS, *counts))
     exact = ("symbol", "trade_date", "rank_5d", "rank_20d", "rank_60d", "rank_change_5d", "rank_change_20d", "leader", "deteriorating")
     c.recipe("rotation_sectors", "lineitem", views.NAMED_BARS, rotation.SECTOR_DAYS, columns=rotation.SECTOR_COLUMNS, doubles=_except(rotation.SECTOR_COLUMNS, *exact))
-    exact = ("trade_date", "sectors", "scored", "broad", "narrow", "improving", "any_deteriorating", "strongest", "weakest", "leaders", "rotation_state")
+    exact = ("trade_date", "sectors", "scored", "broad", "narrow", "improving", "any_deteriorating", "top_symbols", "bottom_symbols", "leaders", "rotation_state")
     c.recipe("rotation_daily", "lineitem", views.NAMED_BARS, rotation.DAILY, columns=rotation.DAILY_COLUMNS, doubles=_except(rotation.DAILY_COLUMNS, *exact))
     c.recipe("cross_asset_daily", "lineitem", views.NAMED_BARS, macro.CROSS_ASSET, columns=macro.CROSS_ASSET_COLUMNS, doubles=_except(macro.CROSS_ASSET_COLUMNS, "trade_date", "risk_on", "risk_off", "divergence", "intermarket_state"))
     c.recipe("liquidity_rates_daily", "lineitem", views.SERIES_POINTS, macro.RATES, columns=macro.RATES_COLUMNS, doubles=_except(macro.RATES_COLUMNS, "observation_date", "liquidity_regime"))

@@ -6,12 +6,12 @@ import decimal
 import duckdb
 import pytest
 
-from panelforge.plans import batches, catalog, features, handoffs, ingestion
+from panelforge.plans import batches, catalog, features, handoffs, ingestion, vendors
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
 LIBRARY = catalog.Catalog()
-for module in (features, ingestion, handoffs, batches):
+for module in (features, ingestion, handoffs, batches, vendors):
     module.register(LIBRARY)
 
 
