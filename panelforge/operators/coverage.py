@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.plans.recipe import Recipe, listed
+from panelforge.plans.recipe import Recipe, distinct
 
 #: Weekdays without trading.
 CLOSED = ("2025-01-01", "2025-01-09")
 
 
-def trading_days(spark: SparkSession, start: str, end: str) -> DataFrame:
-    """Weekdays of [start, end] but known closures, with their neighbours; the calendar is small by nature."""
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("day"))
+def trading_days(dates: DataFrame, column: str = "trade_date") -> DataFrame:
+    """Weekdays from the first to the last of the dates, but known closures; the calendar is small by nature."""
+    ends = dates.agg(F.min(column).cast("date").alias("low"), F.max(column).cast("date").alias("high")).where("low IS NOT NULL")
+    days = ends.select(F.explode(F.sequence("low", "high")).alias("day"))
     return days.where((F.weekday("day") < 5) & ~F.col("day").cast("string").isin(*CLOSED))
 
 
-def trading_days_sql(start: str, end: str) -> str:
+def trading_days_sql(source: str, column: str = "trade_date") -> str:
     closed = ", ".join(f"DATE '{d}'" for d in CLOSED)
-    return f"(SELECT day FROM (SELECT CAST(unnest(generate_series(DATE '{start}', DATE '{end}', INTERVAL 1 DAY)) AS DATE) AS day) WHERE isodow(day) < 6 AND day NOT IN ({closed}))"
+    ends = f"(SELECT CAST(min({column}) AS DATE) AS low, CAST(max({column}) AS DATE) AS high FROM {source})"
+    return f"(SELECT day FROM (SELECT CAST(unnest(generate_series(low, high, INTERVAL 1 DAY)) AS DATE) AS day FROM {ends}) WHERE isodow(day) < 6 AND day NOT IN ({closed}))"
 
 
 #: Expected days joined to a symbol's days: (symbol, day, seen) in.
@@ -55,7 +57,7 @@ GAPS = (
     .pick("symbol", "gap_start", "gap_end", "days")
 )
 #: Keys with more than one row, and their sources.
-OVERLAP = Recipe().group(["symbol", "trade_date"], n="count(*)", adjusted_values="count(DISTINCT adjusted)", sources=listed("CASE WHEN adjusted THEN 'adjusted' ELSE 'raw' END", "CASE WHEN adjusted THEN 1 ELSE 0 END")).where("n > 1")
+OVERLAP = Recipe().group(["symbol", "trade_date"], n="count(*)", adjusted_values="count(DISTINCT adjusted)", sources=distinct("CASE WHEN adjusted THEN 'adjusted' ELSE 'raw' END")).where("n > 1")
 ROW_PROFILE = Recipe().group(["symbol"], n="count(*)", first_day="min(trade_date)", last_day="max(trade_date)", adjusted_values="count(DISTINCT adjusted)")
 
 

@@ -33,8 +33,10 @@ NEWS = (
             score_or_label="sentiment_score IS NULL AND sentiment_label IS NULL",
         ),
         warnings=x.reasons(collected_before_published="collected_at < published_at"),
-        news_id=sha256("source", "article_id", "url", nul=True),
+        published=("date_format(published_at, \"yyyy-MM-dd'T'HH:mm:ss\") || '+00:00'", "strftime(published_at, '%Y-%m-%dT%H:%M:%S') || '+00:00'"),
     )
+    # the parts of the key: vendor, dataset, article, link, time of publication
+    .add(news_id=sha256("'vendor'", "source", "article_id", "url", "published", nul=True))
     .add(accepted="reasons = ''")
 )
 NEWS_COLUMNS = ["article_id", "source", "reasons", "warnings", "news_id", "accepted"]
@@ -45,6 +47,8 @@ BREADTH = (
     .add(filled="coalesce(observed_count, advancing_count + declining_count + unchanged_count)")
     .add(
         reasons=x.reasons(negative_count="least(advancing_count, declining_count, unchanged_count) < 0", observed_mismatch="filled <> advancing_count + declining_count + unchanged_count"),
-        handoff_key=sha256("'vendor'", "'US'", "trade_date", "advancing_count", "declining_count", "unchanged_count", nul=True),
+        file_sha256=sha256("'day_aggs'", "trade_date"),
     )
+    # vendor, dataset, file, day, universe, schema: a corrected count keeps its record's key
+    .add(handoff_key=sha256("'vendor'", "'breadth_daily'", "file_sha256", "trade_date", "'US'", "'v1'", nul=True))
 )

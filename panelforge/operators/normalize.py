@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from panelforge.functions import expr as x
+from panelforge.functions.expr import both
 from panelforge.plans.recipe import Recipe, lookup, sha256
 
 PRICES = ("open", "high", "low", "close")
@@ -85,7 +86,7 @@ SYMBOL_MASTER = (
         quality_status="CASE WHEN active_flag THEN 'pass' WHEN NOT active_flag THEN 'warn' END",
         errors=x.reasons(symbol_present="symbol IS NULL", active_boolean="active_flag IS NULL"),
     )
-    .add(identity_key=("CASE WHEN symbol IS NOT NULL AND exchange_code IS NOT NULL AND asset_type IS NOT NULL THEN " + sha256("symbol", "exchange_code", "asset_type")[0] + " END", "CASE WHEN symbol IS NOT NULL AND exchange_code IS NOT NULL AND asset_type IS NOT NULL THEN " + sha256("symbol", "exchange_code", "asset_type")[1] + " END"))
+    .add(identity_key=both("CASE WHEN symbol IS NOT NULL AND coalesce(trim(asset_type), '') <> '' THEN {digest} END", digest=sha256("'vendor'", "'reference_tickers'", "'abc'", "asset_type", "symbol")))
 )
 SYMBOL_COLUMNS = ["symbol", "full_name", "asset_type", "exchange_code", "currency_code", "active_flag", "quality_status", "identity_key", "errors"]
 

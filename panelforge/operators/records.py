@@ -44,8 +44,9 @@ MONEY_FLOW = (
 #: (source, url, published_at, tickers as text) to news records.
 NEWS_FIXTURES = (
     Recipe()
+    .add(published=("date_format(published_at, \"yyyy-MM-dd'T'HH:mm:ss\") || '+00:00'", "strftime(published_at, '%Y-%m-%dT%H:%M:%S') || '+00:00'"))
     .add(domain=("parse_url(url, 'HOST')", "nullif(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1), '')"), language="coalesce(lang_text, 'en')")
-    .add(news_id=("'news-' || substr(" + sha256("source", "url", "title", nul=True)[0] + ", 1, 24)", "'news-' || substr(" + sha256("source", "url", "title", nul=True)[1] + ", 1, 24)"))
+    .add(news_id=("'news-' || substr(" + sha256("source", "url", "title", "published", nul=True)[0] + ", 1, 24)", "'news-' || substr(" + sha256("source", "url", "title", "published", nul=True)[1] + ", 1, 24)"))
     .pick("news_id", "source", "domain", "language", "url")
 )
 EVENTS = (

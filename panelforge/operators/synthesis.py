@@ -6,9 +6,8 @@ A state that a table does not know, or that is missing, scores 0; only the expli
 from __future__ import annotations
 
 from panelforge.operators.calendar_news import state_text
-from panelforge.plans.recipe import Recipe, case, clamp, lookup, rounded, row_mean, sha256
+from panelforge.plans.recipe import Recipe, case, clamp, json_digest, lookup, rounded, row_mean
 
-_NONE = {"INSUFFICIENT_DATA": None, "INSUFFICIENT_EVIDENCE": None}
 #: Scores of states, by layer and component.
 TABLES = {
     "macro": {
@@ -107,6 +106,6 @@ SYNTHESIS = (
         sections_present=" + ".join(f"(CASE WHEN {s} IS NULL THEN 0 ELSE 1 END)" for s in STATES),
     )
     .add(certification="CASE WHEN evidence_state = 'INSUFFICIENT_EVIDENCE' THEN 'UNCERTIFIED' ELSE 'CERTIFIED' END")
-    .add(idempotency_key=sha256("observation_date", *STATES))
+    .add(idempotency_key=json_digest("observation_date", *STATES))
 )
 COLUMNS = ["observation_date", *STATES, "macro_score", "risk_score", "regime_score", "price_trend_score", "evidence_state", "sections_present", "certification", "idempotency_key"]

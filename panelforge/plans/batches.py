@@ -25,7 +25,8 @@ POINTS = views.SERIES_POINTS.add(n="day(observation_date)").pick(
 FLOW_BARS = views.NAMED_BARS.pick("symbol", "trade_date", "close", "volume", row_vendor="CASE WHEN transactions % 3 = 0 THEN 'own' END", batch_vendor="'vendor'", row_dataset="CAST(NULL AS STRING)", batch_dataset="'day'", file_sha="'abc'")
 FIXTURES = Recipe().pick(
     source="source",
-    title="substr(text, 1, 10)",
+    title=("split(text, '\\n')[0]", "string_split(text, chr(10))[1]"),
+    published_at="CAST('2024-01-01 00:00:00' AS TIMESTAMP) + (doc_id % 40000) * INTERVAL '7' MINUTE",
     url="CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'https://news' || CAST(doc_id % 9 AS STRING) || '.example/a?b=' || CAST(doc_id AS STRING) ELSE 'http://wire.example/x/' || CAST(doc_id AS STRING) END",
     lang_text="CASE WHEN doc_id % 5 = 0 THEN NULL ELSE lang END",
 )
@@ -81,16 +82,17 @@ FROM (SELECT symbol, pair, best AS current_rank FROM r WHERE m % 2 = 0) FULL JOI
 
 def object_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected daily files against those that are there."""
-    days = coverage.trading_days(spark, "1996-01-01", "1996-12-31").withColumn("path", F.date_format("day", "'day_aggs/'yyyy/MM/yyyy-MM-dd'.csv.gz'"))
-    there = table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").select(F.date_format("o_orderdate", "'day_aggs/'yyyy/MM/yyyy-MM-dd'.csv.gz'").alias("path"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    days = coverage.trading_days(orders, "o_orderdate").withColumn("path", F.date_format("day", "'day_aggs/'yyyy/MM/yyyy-MM-dd'.csv.gz'"))
+    there = orders.select(F.date_format("o_orderdate", "'day_aggs/'yyyy/MM/yyyy-MM-dd'.csv.gz'").alias("path"), "o_orderkey")
     there = there.groupBy("path").agg(F.count("*").alias("objects"))
     return days.join(there, "path", "left").select("day", "path", F.coalesce("objects", F.lit(0)).alias("objects"), F.col("objects").isNotNull().alias("present"))
 
 
 INVENTORY_SQL = f"""
-WITH there AS (SELECT strftime(CAST(o_orderdate AS DATE), 'day_aggs/%Y/%m/%Y-%m-%d.csv.gz') AS path, count(*) AS objects FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1)
+WITH there AS (SELECT strftime(CAST(o_orderdate AS DATE), 'day_aggs/%Y/%m/%Y-%m-%d.csv.gz') AS path, count(*) AS objects FROM orders GROUP BY 1)
 SELECT day, d.path, coalesce(objects, 0) AS objects, objects IS NOT NULL AS present
-FROM (SELECT day, strftime(day, 'day_aggs/%Y/%m/%Y-%m-%d.csv.gz') AS path FROM {coverage.trading_days_sql('1996-01-01', '1996-12-31')}) d LEFT JOIN there USING (path)
+FROM (SELECT day, strftime(day, 'day_aggs/%Y/%m/%Y-%m-%d.csv.gz') AS path FROM {coverage.trading_days_sql('orders', 'o_orderdate')}) d LEFT JOIN there USING (path)
 """
 
 

@@ -117,13 +117,17 @@ _SECTIONS = [
     ("orders", views.CALENDAR.then(calendar_news.EVENT_DAYS), "observation_date", {"event_state": "event_risk"}),
     ("orders", FLOW_ROWS.then(scores.FLOWS), "flow_date", {"flow_state": "flow_regime"}),
     ("documents", views.ARTICLES.then(calendar_news.NEWS_DAYS), "observation_date", {"news_state": "sentiment_regime"}),
-    ("lineitem", views.NAMED_BARS.then(prices.PANEL).group(["trade_date"], trend=f"avg({synthesis.trend_score('trend_state')})"), "trade_date", {"price_trend_score": "trend"}),
+    ("lineitem", views.NAMED_BARS.then(prices.PANEL).group(["trade_date"], trend=(f"bround(avg({synthesis.trend_score('trend_state')}), 3)", f"round_even(avg({synthesis.trend_score('trend_state')}), 3)")), "trade_date", {"price_trend_score": "trend"}),
 ]
-#: Panels without a day: the first symbol's label stands for the section.
-_FIRST = [
-    ("part", OPTION_METRICS.then(scores.OPTIONS), "options_regime", "option_state"),
-    ("part", EARNINGS_ROWS.then(scores.EARNINGS), "earnings_regime", "earnings_state"),
-    ("part", FUNDAMENTAL_ROWS.then(scores.FUNDAMENTALS), "fundamental_label", "fundamental_state"),
+#: Panels by symbol; a symbol reports on one day, and the day's least symbol stands for its section.
+_REPORTED = ("date_add(DATE '1995-01-02', CAST(CAST(substr(symbol, 2) AS BIGINT) % 2500 AS INT))", "DATE '1995-01-02' + CAST(CAST(substr(symbol, 2) AS BIGINT) % 2500 AS INTEGER)")
+_SECTIONS += [
+    ("part", recipe.add(report_day=_REPORTED).group(["report_day"], **{name: (f"min_by({label}, symbol)", f"arg_min({label}, symbol)")}), "report_day", {name: name})
+    for recipe, label, name in (
+        (OPTION_METRICS.then(scores.OPTIONS), "options_regime", "option_state"),
+        (EARNINGS_ROWS.then(scores.EARNINGS), "earnings_regime", "earnings_state"),
+        (FUNDAMENTAL_ROWS.then(scores.FUNDAMENTALS), "fundamental_label", "fundamental_state"),
+    )
 ]
 
 
@@ -137,17 +141,12 @@ def bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     for source, recipe, day, states in _SECTIONS:
         part = _section(recipe, day, states).apply(table(spark, sf_dir, source))
         whole = part if whole is None else whole.join(part, "observation_date", "left")
-    for source, recipe, label, name in _FIRST:
-        first = recipe.group([], **{name: (f"min_by({label}, symbol)", f"arg_min({label}, symbol)")}).apply(table(spark, sf_dir, source))
-        whole = whole.crossJoin(first)  # a single row by construction
     return synthesis.SYNTHESIS.pick(*synthesis.COLUMNS).apply(whole)
 
 
 def bundle_sql() -> str:
     parts = [_section(r, d, s).sql(t) for t, r, d, s in _SECTIONS]
     joined = f"{parts[0]} t0" + "".join(f" LEFT JOIN {p} t{i} USING (observation_date)" for i, p in enumerate(parts[1:], 1))
-    firsts = [r.group([], **{n: (f"min_by({x}, symbol)", f"arg_min({x}, symbol)")}).sql(t) for t, r, x, n in _FIRST]
-    joined += "".join(f" CROSS JOIN {p} f{i}" for i, p in enumerate(firsts))
     return query(synthesis.SYNTHESIS.pick(*synthesis.COLUMNS).sql(f"(SELECT * FROM {joined})"))
 
 

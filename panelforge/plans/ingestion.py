@@ -11,7 +11,7 @@ from panelforge.plans.recipe import Recipe, listed, query
 from panelforge.sources import views
 from panelforge.sources.views import table
 
-START, END, AS_OF = "1996-01-01", "1996-06-30", "1998-06-14"
+AS_OF = "1998-06-14"
 
 #: Raw bars with every 13th key twice.
 RAW_TWICE = views.RAW_BARS.add(copy=("explode(sequence(0, CASE WHEN k % 13 = 0 THEN 1 ELSE 0 END))", "unnest(range(0, CASE WHEN k % 13 = 0 THEN 2 ELSE 1 END))"))
@@ -49,15 +49,16 @@ def _apply(recipe: Recipe, spark: SparkSession, sf_dir: str, name: str = "lineit
 
 
 def coverage_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coverage.expected_days(_apply(views.NAMED_BARS, spark, sf_dir), coverage.trading_days(spark, START, END))
+    bars = _apply(views.NAMED_BARS, spark, sf_dir)
+    return coverage.expected_days(bars, coverage.trading_days(bars))
 
 
-COVERAGE_PANEL_SQL = coverage.expected_days_sql(views.NAMED_BARS.sql("lineitem"), coverage.trading_days_sql(START, END))
+COVERAGE_PANEL_SQL = coverage.expected_days_sql(views.NAMED_BARS.sql("lineitem"), coverage.trading_days_sql(views.NAMED_BARS.sql("lineitem")))
 
 
 def gap_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid raw bars on the days that the even-day target lacks."""
-    days = coverage.trading_days(spark, START, END).select(F.col("day").alias("trade_date"))
+    days = coverage.trading_days(_apply(views.BARS, spark, sf_dir)).select(F.col("day").alias("trade_date"))
     have = _apply(TARGET, spark, sf_dir).select("symbol", "trade_date").distinct()
     raw = _apply(VALID, spark, sf_dir).join(days, "trade_date", "left_semi").join(have, ["symbol", "trade_date"], "left_anti")
     return upsert.first_wins(raw, upsert.KEY, ["seq"]).groupBy("symbol").agg(F.count("*").alias("candidates"), F.min("trade_date").alias("first_day"), F.max("trade_date").alias("last_day"))
@@ -66,7 +67,7 @@ def gap_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 GAP_FILL_SQL = f"""
 WITH have AS (SELECT DISTINCT symbol, trade_date FROM {TARGET.sql('lineitem')}),
 raw AS (SELECT *, row_number() OVER (PARTITION BY symbol, trade_date, timeframe, adjusted ORDER BY seq) AS place FROM {VALID.sql('lineitem')} v
-        WHERE trade_date IN (SELECT day FROM {coverage.trading_days_sql(START, END)})
+        WHERE trade_date IN (SELECT day FROM {coverage.trading_days_sql(views.BARS.sql('lineitem'))})
           AND NOT EXISTS (SELECT 1 FROM have h WHERE h.symbol = v.symbol AND h.trade_date = v.trade_date))
 SELECT symbol, count(*) AS candidates, min(trade_date) AS first_day, max(trade_date) AS last_day FROM raw WHERE place = 1 GROUP BY symbol
 """

@@ -114,9 +114,21 @@ def sha256(*parts: str, nul: bool = False) -> Expr:
     return f"sha2({joined[0]}, 256)", f"sha256({joined[1]})"
 
 
+def json_digest(*columns: str) -> Expr:
+    """Hex digest of the compact JSON object of text columns, keys sorted; nulls stay as null."""
+    fields = [f"'\"{c}\":' || coalesce('\"' || CAST({c} AS STRING) || '\"', 'null')" for c in sorted(columns)]
+    text = "'{' || " + " || ',' || ".join(fields) + " || '}'"
+    return f"sha2({text}, 256)", f"sha256({text})"
+
+
 def listed(value: str, order: str) -> Expr:
     """Values of a group as text, in the given order, joined by commas; null values left out."""
     return (
         f"array_join(transform(array_sort(collect_list(CASE WHEN {value} IS NOT NULL THEN struct({order} AS o, {value} AS v) END)), x -> CAST(x.v AS STRING)), ',')",
         f"coalesce(string_agg(CAST({value} AS VARCHAR), ',' ORDER BY {order}, {value}), '')",
     )
+
+
+def distinct(value: str) -> Expr:
+    """Different values of a group as text, in their order, joined by commas; null values left out."""
+    return f"array_join(array_sort(collect_set({value})), ',')", f"coalesce(string_agg(DISTINCT {value}, ',' ORDER BY {value}), '')"
