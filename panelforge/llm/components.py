@@ -32,6 +32,13 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(low.select("src", F.col("low").alias("dst")))
 
 
+def _all_stars(links: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and that one has none."""
+    lows = links.groupBy("src").agg(F.count("*").alias("n"))
+    roots = links.select(F.col("dst").alias("src")).distinct().withColumn("root", F.lit(True))
+    return lows.join(roots, "src", "left").where("n > 1 or root").count() == 0
+
+
 def connected_components(links: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(id, component): the least id reachable, for every id that has a link to another.
 
@@ -40,11 +47,8 @@ def connected_components(links: DataFrame, src: str = "src", dst: str = "dst") -
     """
     named = links.select(F.col(src).alias("src"), F.col(dst).alias("dst")).dropna()
     now = materialize(_downhill(named))
-    seen = None
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            return now.select(F.col("src").alias("id"), F.col("dst").alias("component"))
+    while not _all_stars(now):
         after = materialize(_downhill(_small_star(_downhill(_large_star(now)))))
         discard(now)
-        now, seen = after, mark
+        now = after
+    return now.select(F.col("src").alias("id"), F.col("dst").alias("component"))
