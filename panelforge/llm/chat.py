@@ -4,8 +4,9 @@ For every participant the dialogue is rendered with that speaker as ``assistant`
 users and context roles (``system``) as they are. Mask spans are the character ranges [start, end) of the rendered
 chunk that a model of that speaker is trained on: the speaker's own words and the end mark behind them.
 
-A dialogue is rendered in chunks of ``chunk_turns`` turn numbers, each a row, with its offset in the whole rendering,
-so a dialogue of any length never meets in one row or task. Defined cases: a blank or null role is the participant
+A dialogue is rendered in chunks of ``chunk_turns`` turn numbers, each a row, with its offset in the whole rendering. A
+chunk with more than 16 different rows to a turn on average is dealt over parts by the hash of its rows, so
+neither a dialogue of any length nor a turn of any number of rows meets in one row or task. Defined cases: a blank or null role is the participant
 ``unknown``; null text is empty; rows that agree in conversation, turn, role and text are one turn and ``n_rows``
 counts them; different rows of one turn follow each other by role, then text; rows without a turn number come first,
 in chunks by text hash; rows without a conversation id are dialogues of one turn each; a dialogue with context roles
@@ -17,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelforge.llm.scratch import materialize
+
 START, END = "<|im_start|>", "<|im_end|>"
 
 
@@ -33,7 +36,14 @@ def _turns(conversations: DataFrame, chunk_turns: int, id_col: str, turn_col: st
     loose = F.lit(-1) - F.pmod(F.xxhash64("speaker", "text"), F.lit(1 << 16))
     chunk = F.when(F.col("turn").isNull(), loose).otherwise(F.floor(F.col("turn") / chunk_turns))
     alone = F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "speaker", "text")).otherwise(F.lit(0))
-    return rows.withColumn("chunk", chunk.cast("long")).withColumn("alone", alone)
+    rows = rows.withColumn("chunk", chunk.cast("long")).withColumn("alone", alone)
+    # parts of the few chunks that hold more rows than a chunk may
+    most = chunk_turns * 16
+    sizes = rows.groupBy(F.col("conv_id").alias("_conv"), F.col("alone").alias("_alone"), F.col("chunk").alias("_chunk")).count().where(F.col("count") > most)
+    sizes = sizes.select("_conv", "_alone", "_chunk", F.ceil(F.col("count") / most).alias("parts"))
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("alone") == F.col("_alone")) & (F.col("chunk") == F.col("_chunk"))
+    part = F.pmod(F.xxhash64("turn", "speaker", "text"), F.coalesce("parts", F.lit(1)))
+    return rows.join(sizes, same, "left").withColumn("part", part).drop("_conv", "_alone", "_chunk", "parts")
 
 
 def _segment(message: Column, perspective: Column, context_roles: tuple[str, ...]) -> Column:
@@ -54,9 +64,9 @@ def rotate_perspectives(
     role_col: str = "role",
     text_col: str = "text",
 ) -> DataFrame:
-    """conv_id, perspective, chunk, n_turns, n_rows, rendered, spans array<struct<start,end>>, chunk_offset."""
+    """conv_id, perspective, chunk, part, n_turns, n_rows, rendered, spans array<struct<start,end>>, chunk_offset."""
     turns = _turns(conversations, chunk_turns, id_col, turn_col, role_col, text_col)
-    chunks = turns.groupBy("conv_id", "alone", "chunk").agg(
+    chunks = turns.groupBy("conv_id", "alone", "chunk", "part").agg(
         F.sort_array(F.collect_list(F.struct("turn", "speaker", "text"))).alias("messages"),
         F.sum("n_rows").alias("n_rows"),
     )
@@ -76,10 +86,14 @@ def rotate_perspectives(
 
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
     spans = F.aggregate("parts", empty, step, lambda s: s["spans"])
-    rendered = parts.select("conv_id", "alone", "perspective", "chunk", F.size("messages").cast("long").alias("n_turns"), "n_rows", text.alias("rendered"), spans.alias("spans"))
-    before = Window.partitionBy("conv_id", "alone", "perspective").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    key = ["conv_id", "alone", "perspective", "chunk", "part"]
+    rendered = materialize(parts.select(*key, F.size("messages").cast("long").alias("n_turns"), "n_rows", text.alias("rendered"), spans.alias("spans")))
+    # offsets are summed over lengths alone; the texts meet them by a key that no dialogue makes hot
+    before = Window.partitionBy("conv_id", "alone", "perspective").orderBy("chunk", "part").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum(F.char_length("rendered").cast("long")).over(before), F.lit(0))
-    return rendered.withColumn("chunk_offset", offset).drop("alone")
+    offsets = rendered.select(*key, offset.alias("chunk_offset")).select(*[F.col(k).alias(f"_{k}") for k in key], "chunk_offset")
+    both = rendered.join(offsets, F.expr(" AND ".join(f"{k} <=> _{k}" for k in key)))
+    return both.select("conv_id", "perspective", "chunk", "part", "n_turns", "n_rows", "rendered", "spans", "chunk_offset")
 
 
 def spans_text(spans: Column) -> Column:
@@ -112,7 +126,8 @@ chunks AS (
          coalesce(string_agg(CAST(CAST(place + length(head) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(place + length(head) + length(body) AS BIGINT) AS VARCHAR), ','
                   ORDER BY turn, speaker, text) FILTER (own), '') AS mask
   FROM placed GROUP BY conv_id, perspective, chunk)
-SELECT conv_id, perspective, chunk, n_turns, n_rows, rendered, mask,
+-- no chunk of the tables is so full that it has a second part
+SELECT conv_id, perspective, chunk, CAST(0 AS BIGINT) AS part, n_turns, n_rows, rendered, mask,
        CAST(coalesce(sum(length(rendered)) OVER (PARTITION BY conv_id, perspective ORDER BY chunk
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS chunk_offset
 FROM chunks

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -65,6 +66,19 @@ def test_perspectives_of_nothing_and_without_python(spark):
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_perspectives_of_a_turn_of_many_rows(spark):
+    """The rows of one crowded turn are dealt over parts, whose offsets follow each other."""
+    rows = [(1, 7, f"s{i % 3}", f"text {i}") for i in range(9000)] + [(1, 300, "s1", "late")]
+    out = chat.rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    for speaker in ("s0", "s1", "s2"):
+        own = sorted((r for r in out if r["perspective"] == speaker), key=lambda r: (r["chunk"], r["part"]))
+        assert sum(r["n_turns"] for r in own) == 9001 and len(own) == 4
+        at = 0
+        for r in own:
+            assert r["chunk_offset"] == at
+            at += len(r["rendered"])
+
+
 # ---- op2 ----
 
 
@@ -162,6 +176,22 @@ def test_neighbours(spark):
     assert hits / total >= 0.9
 
 
+def test_recall_where_blocks_exceed_what_is_reranked(spark):
+    """20,000 vectors in blocks of 4,096, of which 200 are scored exactly."""
+    rng = np.random.default_rng(12)
+    v = (rng.normal(size=(20_000, 24)) * rng.uniform(0.5, 2.0, (20_000, 1))).astype(np.float32)
+    rows = [pa.array(np.arange(20_000)), pa.FixedSizeListArray.from_arrays(pa.array(v.reshape(-1)), 24).cast(pa.list_(pa.float32()))]
+    frame = spark.createDataFrame(pa.Table.from_arrays(rows, names=["vec_id", "embedding"]))
+    out = additive_ann.nearest(frame, rerank=200, row_chunk=4096, query_every=100).toPandas()
+    v = v.astype(float)
+    hits = 0
+    for q in range(0, 20_000, 100):
+        s = v @ v[q]
+        s[q] = -np.inf
+        hits += len(set(np.argpartition(-s, 20)[:20].tolist()) & set(out.vec_id[out.query_id == q].tolist()))
+    assert len(out) == 4000 and hits / 4000 >= 0.9
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, None), (6, [1.0]), (7, [None, 1.0]), (20, [-1.0, 0.0]), (0, [1.0, 0.0]), (None, [1.0, 1.0])]
