@@ -52,13 +52,30 @@ SECTOR_DAYS = (
     .add(
         score_rank="row_number() OVER (PARTITION BY trade_date ORDER BY rs_20d DESC NULLS LAST, symbol)",
         low_rank="row_number() OVER (PARTITION BY trade_date ORDER BY rs_20d NULLS LAST, symbol)",
-        list_rank="row_number() OVER (PARTITION BY trade_date ORDER BY coalesce(momentum_score, -CAST(rank_20d AS DOUBLE)) DESC NULLS LAST, symbol)",
+        list_rank="row_number() OVER (PARTITION BY trade_date ORDER BY coalesce(momentum_score, -CAST(rank_20d AS DOUBLE), 0) DESC, symbol)",
     )
 )
 SECTOR_COLUMNS = [
     "symbol", "trade_date", *(f"return_{n}d" for n in WINDOWS), *(f"rs_{n}d" for n in WINDOWS), "rank_5d", "rank_20d", "rank_60d",
     "rank_change_5d", "rank_change_20d", "momentum_score", "leader", "deteriorating",
 ]
+def _listed(condition: str) -> tuple[str, str]:
+    return listed(f"CASE WHEN {condition} THEN symbol END", "list_rank")
+
+
+#: Sectors of each day in the order of their momentum, or of their 20-day rank where there is none.
+REPORT = SECTOR_DAYS.add(of_day="count(*) OVER (PARTITION BY trade_date)").group(
+    ["trade_date"],
+    observation_count="count(*)",
+    strongest=_listed("list_rank <= 3"),
+    weakest=listed("CASE WHEN of_day - list_rank < 3 THEN symbol END", "-list_rank"),
+    leadership=_listed("leader"),
+    deteriorating_sectors=_listed("deteriorating"),
+    defensive=_listed(_in(DEFENSIVE)),
+    cyclical=_listed(_in(CYCLICAL)),
+    growth=_listed(_in(GROWTH)),
+    rate_sensitive=_listed(_in(RATE_SENSITIVE)),
+)
 #: One row for each day; the score is the 20-day relative strength.
 DAILY = (
     SECTOR_DAYS.group(

@@ -14,13 +14,17 @@ def first_wins(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
-def upsert(target: DataFrame, source: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """Target rows whose key the source lacks, and the source's first row of each key, told by ``action``."""
-    new = first_wins(source, key, order)
-    kept = target.join(new, key, "left_anti").withColumn("action", F.lit("kept"))
-    known = target.select(*key).distinct().withColumn("_known", F.lit(True))
-    merged = new.join(known, key, "left").withColumn("action", F.when(F.col("_known"), "updated").otherwise("inserted")).drop("_known")
-    return kept.unionByName(merged.select(*kept.columns))
+def upsert(target: DataFrame, source: DataFrame, key: list[str], order: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Target rows whose key the source lacks, and the source's first row of each key, told by ``action``.
+
+    The key is unique in the target. Columns in ``keep`` stay as they are in rows that are updated. One join."""
+    others = [c for c in target.columns if c not in key]
+    new = first_wins(source, key, order).select(*key, *[F.col(c).alias(f"_new_{c}") for c in others], F.lit(True).alias("_new"))
+    both = target.withColumn("_old", F.lit(True)).join(new, key, "full")
+    taken = {c: F.col("_new") if c not in keep else F.col("_old").isNull() for c in others}
+    columns = [F.when(taken[c], F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in others]
+    action = F.when(F.col("_new").isNull(), "kept").when(F.col("_old"), "updated").otherwise("inserted")
+    return both.select(*key, *columns, action.alias("action"))
 
 
 def snapshot_status(target: DataFrame, source: DataFrame, grain: list[str], key: str) -> DataFrame:
