@@ -50,7 +50,7 @@ WINDOWS = (
         **{f"above_ma_{n}": f"close > ma_{n}" for n in AVERAGES},
         **{f"range_{n}d": f"(max_{n} - min_{n}) / nullif(min_{n}, 0)" for n in (20, 60)},
         **{f"drawdown_{n}d": f"(close - max_{n}) / nullif(max_{n}, 0)" for n in (20, 60)},
-        true_range="CASE WHEN prev_close IS NULL THEN high - low ELSE greatest(high - low, abs(high - prev_close), abs(low - prev_close)) END",
+        true_range="CASE WHEN high IS NULL OR low IS NULL THEN NULL WHEN prev_close IS NULL THEN high - low ELSE greatest(high - low, abs(high - prev_close), abs(low - prev_close)) END",
     )
     .add(volumes_seen=running("volume"), returns_seen=running("return_1d"), ranges_seen=running("true_range"))
     .add(

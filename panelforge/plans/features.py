@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.operators import breadth, calendar_news, macro, prices, rotation, scores, synthesis
 from panelforge.plans.catalog import Catalog
-from panelforge.plans.recipe import Recipe, query
+from panelforge.plans.recipe import Recipe, query, rounded
 from panelforge.sources import views
 from panelforge.sources.views import table
 
@@ -79,7 +79,40 @@ FLOW_ROWS = Recipe().pick(
 )
 
 
+#: Bars with holes: closes, volumes and highs that are missing, closes of zero.
+GAPPY = views.BARS.add(n="CAST(day(trade_date) AS BIGINT) + transactions").pick(
+    "symbol", "trade_date", open="open", low="low",
+    high="CASE WHEN n % 5 = 0 THEN NULL ELSE high END", close="CASE WHEN n % 11 = 0 THEN NULL WHEN n % 13 = 0 THEN CAST(0 AS DOUBLE) ELSE close END", volume="CASE WHEN n % 7 = 0 THEN NULL ELSE CAST(volume AS DOUBLE) END",
+)
+GAP_COLUMNS = ["symbol", "trade_date", "true_range", "atr_14", "adv_20", "relative_volume_20", "volatility_20d", "volatility_60d"]
+#: The same windows written by hand over lists of the values that exist; no value looks back further than 150 rows.
+GAPPY_SQL = f"""
+WITH priced AS (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY trade_date) AS before FROM {GAPPY.sql('lineitem')} WHERE close IS NOT NULL),
+valued AS (SELECT symbol, trade_date, volume, close * volume AS traded, (close - before) / nullif(before, 0) AS gain,
+                  CASE WHEN high IS NULL OR low IS NULL THEN NULL WHEN before IS NULL THEN high - low ELSE greatest(high - low, abs(high - before), abs(low - before)) END AS spread FROM priced),
+lists AS (SELECT *, list(gain) FILTER (WHERE gain IS NOT NULL) OVER w AS gains, list(spread) FILTER (WHERE spread IS NOT NULL) OVER w AS spreads,
+                 list(volume) FILTER (WHERE volume IS NOT NULL) OVER w AS volumes, list(traded) FILTER (WHERE traded IS NOT NULL) OVER w AS trades
+          FROM valued WINDOW w AS (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 150 PRECEDING AND CURRENT ROW)),
+windows AS (SELECT symbol, trade_date, spread AS true_range, CASE WHEN len(spreads) >= 14 THEN list_avg(spreads[-14:]) END AS atr_14, CASE WHEN len(trades) >= 20 THEN list_avg(trades[-20:]) END AS adv_20,
+                   volume / nullif(CASE WHEN len(volumes) >= 20 THEN list_avg(volumes[-20:]) END, 0) AS relative_volume_20,
+                   CASE WHEN len(gains) >= 20 THEN list_aggregate(gains[-20:], 'stddev_pop') * sqrt(252) END AS volatility_20d, CASE WHEN len(gains) >= 60 THEN list_aggregate(gains[-60:], 'stddev_pop') * sqrt(252) END AS volatility_60d FROM lists)
+SELECT symbol, trade_date, {', '.join(f'{rounded(x)} AS {x}' for x in GAP_COLUMNS[2:])} FROM windows
+"""
+#: Leaders and laggards by hand: the three best and worst 20-day strengths, ties by symbol.
+_STRENGTH = "SELECT s.symbol, s.trade_date, s.r20 - b.r20 AS rs FROM r s JOIN r b ON b.trade_date = s.trade_date AND b.symbol = 'SPY' WHERE s.symbol <> 'SPY' AND s.symbol IN (" + ", ".join(f"'{n}'" for n in rotation.SECTORS) + ")"
+ENDS_SQL = f"""
+WITH n AS (SELECT symbol, trade_date, close, lag(close, 20) OVER (PARTITION BY symbol ORDER BY trade_date) AS past FROM {views.NAMED_BARS.sql('lineitem')}),
+r AS (SELECT symbol, trade_date, CASE WHEN close > 0 AND past > 0 THEN close / past - 1 END AS r20 FROM n), s AS ({_STRENGTH})
+SELECT trade_date, coalesce(array_to_string((list(symbol ORDER BY rs DESC, symbol) FILTER (WHERE rs IS NOT NULL))[:3], ','), '') AS top_symbols,
+       coalesce(array_to_string((list(symbol ORDER BY rs, symbol) FILTER (WHERE rs IS NOT NULL))[:3], ','), '') AS bottom_symbols FROM s GROUP BY trade_date
+"""
+
+
 def register(c: Catalog) -> None:
+    c.recipe("price_windows_with_gaps", "lineitem", GAPPY, prices.PANEL, columns=GAP_COLUMNS, doubles=tuple(GAP_COLUMNS[2:]))
+    c.sql["price_windows_with_gaps"] = GAPPY_SQL
+    c.recipe("rotation_ends", "lineitem", views.NAMED_BARS, rotation.DAILY, columns=["trade_date", "top_symbols", "bottom_symbols"])
+    c.sql["rotation_ends"] = ENDS_SQL
     flags = [f"above_ma_{n}" for n in prices.AVERAGES]
     c.recipe("price_panel", "lineitem", views.BARS, prices.PANEL, columns=prices.COLUMNS, doubles=_except(prices.COLUMNS, "symbol", "trade_date", "trend_state", *flags))
     c.recipe("price_trend_histogram", "lineitem", views.BARS, prices.TREND_HISTOGRAM)
