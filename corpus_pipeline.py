@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm import fuzzy_lines, langid, packing, simhash_trie, suffix_dedup
-from panelforge.llm.scratch import materialize
+from panelforge.llm.scratch import discard, materialize_alone
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -53,10 +53,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written and read again before the next."""
+    """All stages over documents, each written and read again before the next; a stage's own tables go with it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        kept = materialize_alone(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
+        discard(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

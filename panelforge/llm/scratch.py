@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Spark's setting that drops the shuffle files of a query as soon as it has ended.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own_dirs: dict[str, str] = {}
+_written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -47,19 +49,32 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/panelforge-{uuid.uuid4().hex}"
     with dropping_shuffles(df.sparkSession):
         df.write.parquet(path)
+    _written.append(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._panelforge_path = path
     return back
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete what ``materialize`` wrote for ``frames``; nothing may read it later."""
     for df in frames:
-        path = getattr(df, "_panelforge_path", None)
-        if path:
-            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(conf).delete(target, True)
+        if path := getattr(df, "_panelforge_path", None):
+            _delete(df.sparkSession, path)
+
+
+def materialize_alone(make: Callable[[], DataFrame]) -> DataFrame:
+    """The table of what ``make`` returns; the tables written on the way there are deleted."""
+    before = len(_written)
+    out = materialize(make())
+    for path in _written[before:-1]:
+        _delete(out.sparkSession, path)
+    del _written[before:]
+    return out
 
 
 def text_slices(batch, column: int, size: int = 1 << 20):

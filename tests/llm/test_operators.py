@@ -221,6 +221,75 @@ def test_digests(spark, docs):
     assert np.mean([r["near_edited"] for r in out.values()]) > 0.6 > 0.2 > np.mean([r["near_next"] for r in out.values()])
 
 
+def brute_digests(texts):
+    """Digest of each text, and the likeness of two, with dictionaries and sets."""
+    worth = [0] + [round(float(c * np.log2(c)) * (1 << 20)) for c in range(1, 65)]
+
+    def steps(data):
+        out = []
+        for i in range(len(data) - 63):
+            total = sum(worth[c] for c in collections.Counter(data[i : i + 64]).values())
+            out.append(min(max((worth[64] - total) * 1023 // worth[64], 0), 1023))
+        return out
+
+    known = {t: steps(t) for t in set(texts)}
+    times = collections.Counter()
+    for t in texts:
+        times.update(known[t])
+    rank = {b: r for r, b in enumerate(sorted(range(1024), key=lambda b: (times[b], b)))}
+
+    def marks(data):
+        if not data:
+            return []
+        if len(data) < 64:
+            return [int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little")]
+        keys = [(rank[b], i) for i, b in enumerate(known.get(data) or steps(data))]
+        runs = [keys[i : i + 64] for i in range(max(1, len(keys) - 63))]
+        count = collections.Counter(min(run)[1] for run in runs)
+        chosen = sorted(i for i, n in count.items() if n >= 16) or [min(count, key=lambda i: (-count[i], i))]
+        out = []
+        for i in chosen:
+            value = 0
+            for k in range(8):
+                value = (value ^ int.from_bytes(data[i + 8 * k : i + 8 * k + 8], "little")) * 0x9E3779B97F4A7C15 % (1 << 64)
+                value ^= value >> 29
+            out.append(value)
+        return out
+
+    def digest(data):
+        values = marks(data)
+        chain = [values[i : i + 160] for i in range(0, len(values), 160)]
+        return [{h >> 12 * k & 2047 for h in part for k in range(5)} for part in chain], len(chain[-1]) if chain else 0
+
+    def text_of(chain, last):
+        return f"{last:03d}:" + "".join(np.packbits([b in bits for b in range(2048)]).tobytes().hex() for bits in chain)
+
+    def like(a, b):
+        if a == b:
+            return 1.0
+        if not a[0] or not b[0]:
+            return 0.0
+        one = lambda p, q: max(0.0, min(1.0, (len(p & q) - len(p) * len(q) / 2048) / max(min(len(p), len(q)) - len(p) * len(q) / 2048, 1e-9)))
+        way = lambda x, y: sum(max(one(p, q) for q in y) for p in x) / len(x)
+        x, y = a[0], b[0]
+        return min(1.0, (way(x, y) + way(y, x)) / 2) if len(x) == len(y) else way(x, y) if len(x) < len(y) else way(y, x)
+
+    return digest, text_of, like
+
+
+def test_digests_equal_brute_force(spark, docs):
+    rows = docs.select("doc_id", "text").orderBy("doc_id").collect()
+    digest, text_of, like = brute_digests([r["text"].encode() for r in rows])
+    out = {r["doc_id"]: r for r in rare_digest.digests(docs).collect()}
+    for i in range(0, len(rows), 7):
+        text, follow = rows[i]["text"], rows[(i + 1) % len(rows)]["text"]
+        edited = text[: len(text) - len(text) // 4] + follow[: len(text) // 4]
+        own, changed, after = (digest(t.encode()) for t in (text, edited, follow))
+        r = out[rows[i]["doc_id"]]
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (text_of(*own), text_of(*changed))
+        assert (r["near_edited"], r["near_next"]) == (pytest.approx(like(own, changed), abs=1e-6), pytest.approx(like(own, after), abs=1e-6))
+
+
 def test_digests_of_odd_texts(spark, odd, empty):
     out = rare_digest.digests(odd).collect()
     assert len(out) == len(ODD) and all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in out)

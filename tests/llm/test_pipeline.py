@@ -1,7 +1,8 @@
 """The corpus pipeline: each stage takes and gives the columns of documents, and its decisions take effect."""
 
 import corpus_pipeline
-from panelforge.llm import fuzzy_lines, langid, simhash_trie, suffix_dedup
+from panelforge.llm import fuzzy_lines, langid
+from tests.llm.test_operators import brute_passages, brute_simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,12 +27,19 @@ def test_stages(spark, tmp_path):
             want = {r["doc_id"]: r["text"] for r in fuzzy_lines.dedup_lines(before).collect()}
             assert {r["doc_id"]: r["text"] for r in docs.collect()} == want
         elif name == "SimHash near-dedup":
-            groups = {r["doc_id"]: r["component_id"] for r in simhash_trie.near_duplicates(before).collect()}
-            assert sorted(r["doc_id"] for r in docs.collect()) == sorted(set(groups.values()))
+            prints = {r["doc_id"]: brute_simhash(r["text"]) for r in before.collect()}
+            label, changed = {i: i for i in prints}, True
+            while changed:
+                low = {i: min(label[j] for j, q in prints.items() if (p ^ q).bit_count() <= 3) for i, p in prints.items()}
+                changed, label = low != label, low
+            assert sorted(r["doc_id"] for r in docs.collect()) == sorted(set(label.values()))
         elif name == "suffix-array dedup":
-            assert docs.count() == before.count()
-            assert sum(len(r["text"] or "") for r in docs.collect()) <= sum(len(r["text"] or "") for r in before.collect())
-            assert suffix_dedup.dedup_passages(before).selectExpr("sum(n_removed)").first()[0] >= 0
+            rows = before.select("doc_id", "text").collect()
+            want = {r["doc_id"]: w[1] for r, w in zip(rows, brute_passages([(r["text"] or "").encode() for r in rows]))}
+            sizes = {r["doc_id"]: len((r["text"] or "").encode()) for r in rows}
+            got = {r["doc_id"]: len((r["text"] or "").encode()) for r in docs.collect()}
+            # a cut may leave parts of a character, which the text drops
+            assert got.keys() == want.keys() and all(0 <= sizes[i] - got[i] - n < 8 for i, n in want.items())
         else:
             assert {r["doc_id"] for r in docs.collect()} == {r["doc_id"] for r in before.collect()}
 
