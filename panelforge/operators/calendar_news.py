@@ -27,6 +27,7 @@ NORMAL_EVENTS = Recipe().add(t=state_text("event_type"), i="upper(trim(impact))"
 EVENT_WINDOWS = NORMAL_EVENTS.add(
     back=("explode(sequence(0, %d))" % LOOKAHEAD, "unnest(range(0, %d))" % (LOOKAHEAD + 1)),
 ).add(observation_date=("date_sub(event_date, back)", "event_date - CAST(back AS INTEGER)"))
+#: Event types by the name of their count.
 _COUNTS = {"fed": ["FED"], "cpi": ["CPI"], "jobs": ["JOBS"], "opex": ["OPEX"], "earnings": ["EARNINGS"], "holiday": ["HOLIDAY"], "auction": ["TREASURY_AUCTION"],
            "macro": ["FED", "CPI", "PPI", "JOBS", "GDP", "TREASURY_AUCTION"], "inflation": ["CPI", "PPI", "INFLATION"]}
 EVENT_DAYS = (
@@ -62,6 +63,7 @@ OPEX_DAYS = (
 
 #: News of the 24 hours up to 16:00 of each day: an article belongs to one such window, or at exactly 16:00 to two.
 _WINDOW_END = ("explode(array_distinct(array(CAST(published_at + INTERVAL '8' HOUR - INTERVAL '1' MICROSECOND AS DATE), CAST(published_at + INTERVAL '8' HOUR AS DATE))))", "unnest(list_distinct([CAST(published_at + INTERVAL 8 HOUR - INTERVAL 1 MICROSECOND AS DATE), CAST(published_at + INTERVAL 8 HOUR AS DATE)]))")
+#: Categories of articles.
 CATEGORIES = ("MACRO", "FED", "EARNINGS", "COMPANY", "GEOPOLITICAL", "SECTOR", "CREDIT", "VOLATILITY")
 NEWS_WINDOWS = Recipe().add(observation_date=_WINDOW_END).add(
     bucket="CASE WHEN sentiment_score >= 0.2 THEN 'POSITIVE' WHEN sentiment_score <= -0.2 THEN 'NEGATIVE' WHEN sentiment_score IS NOT NULL THEN 'NEUTRAL' END",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from panelforge.plans.recipe import Recipe, case, row_mean
 
+#: Assets, rates and volatility indices of the panels.
 ASSETS = ("SPY", "QQQ", "IWM", "TLT", "HYG", "GLD", "USO", "DXY", "VIX")
 
 

@@ -36,6 +36,7 @@ TABLES = {
         "volatility_state": {"LOW_VOLATILITY": 1.0, "NORMAL_VOLATILITY": 0.5, "MIXED_VOLATILITY": 0.0, "ELEVATED_VOLATILITY": -0.25, "HIGH_VOLATILITY": -0.75, "EXTREME_VOLATILITY": -1.0, "INSUFFICIENT_DATA": None},
     },
 }
+#: Score of each trend state, and the states of a bundle.
 TREND_SCORES = {"STRONG_UPTREND": 1.0, "UPTREND": 0.5, "MIXED": 0.0, "DOWNTREND": -0.5, "STRONG_DOWNTREND": -1.0, "INSUFFICIENT_DATA": None}
 STATES = ("breadth_state", "rotation_state", "cross_state", "rates_state", "volatility_state", "event_state", "news_state", "earnings_state", "macro_state", "risk_state", "regime_state", "fundamental_state", "flow_state", "option_state")
 

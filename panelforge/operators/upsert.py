@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelforge.plans.recipe import Recipe
+
 KEY = ["symbol", "trade_date", "timeframe", "adjusted"]
 
 
@@ -36,18 +38,19 @@ def snapshot_status(target: DataFrame, source: DataFrame, grain: list[str], key:
     return both.withColumn("write_status", status).drop("_same", "_taken")
 
 
-def resume(source: DataFrame, checkpoints: DataFrame, requested_start: str) -> DataFrame:
-    """Rows after each symbol's checkpoint, and not before the requested start; undated rows stay."""
-    last = checkpoints.select("symbol", F.col("last_success").alias("_last"))
-    start = F.greatest(F.lit(requested_start).cast("date"), F.date_add("_last", 1))
-    return source.join(last, "symbol", "left").where(F.col("trade_date").isNull() | (F.col("trade_date") >= start)).drop("_last")
-
-
-def load_summary(source: DataFrame, fresh: DataFrame, valid: DataFrame, checkpoints: DataFrame) -> DataFrame:
-    """Per symbol: rows received, new, valid, its next checkpoint and status."""
-    count = lambda df, name: df.groupBy("symbol").agg(F.count("*").alias(name))
-    last = valid.groupBy("symbol").agg(F.max("trade_date").alias("_new_last"))
-    out = count(source, "received").join(count(fresh, "fresh"), "symbol", "left").join(count(valid, "written"), "symbol", "left").join(last, "symbol", "left").join(checkpoints, "symbol", "left")
-    fresh_rows, written = F.coalesce("fresh", F.lit(0)), F.coalesce("written", F.lit(0))
-    status = F.when(fresh_rows == 0, "skipped_already_current").when(written == 0, "failed").otherwise("completed")
-    return out.select("symbol", "received", fresh_rows.alias("fresh"), written.alias("written"), F.coalesce("_new_last", "last_success").alias("checkpoint"), status.alias("status"))
+def load_summary(source: DataFrame, checkpoints: DataFrame, checked: Recipe, requested_start: str) -> DataFrame:
+    """Per symbol: rows received, new, valid and first of their key, its next checkpoint and status.
+
+    New rows come after the symbol's checkpoint and not before the requested start; undated rows are new. ``checked`` adds
+    ``valid``. One pass: every row is told by flags, which one grouping counts."""
+    start = F.greatest(F.lit(requested_start).cast("date"), F.date_add("last_success", 1))
+    rows = source.join(checkpoints.select("symbol", "last_success"), "symbol", "left")
+    rows = checked.apply(rows.withColumn("_fresh", F.col("trade_date").isNull() | (F.col("trade_date") >= start)))
+    good = F.col("_fresh") & F.col("valid")
+    place = F.row_number().over(Window.partitionBy(*KEY, good).orderBy("seq"))
+    rows = rows.withColumn("_taken", good & (place == 1))
+    told = rows.groupBy("symbol").agg(
+        F.count("*").alias("received"), F.count(F.when(F.col("_fresh"), 1)).alias("fresh"), F.count(F.when(F.col("_taken"), 1)).alias("written"),
+        F.coalesce(F.max(F.when(F.col("_taken"), F.col("trade_date"))), F.max("last_success")).alias("checkpoint"),
+    )
+    return told.withColumn("status", F.when(F.col("fresh") == 0, "skipped_already_current").when(F.col("written") == 0, "failed").otherwise("completed"))

@@ -8,6 +8,7 @@ from panelforge.operators import breadth, calendar_news, macro, prices, rotation
 from panelforge.plans.catalog import Catalog
 from panelforge.plans.recipe import Recipe, query, rounded
 from panelforge.sources import views
+from panelforge.sources.files import folder
 from panelforge.sources.views import table
 
 
@@ -140,17 +141,17 @@ def register(c: Catalog) -> None:
     c.plan("market_bundle", bundle, bundle_sql())
 
 
-#: Panels that give a day's states: table, recipe, day column, state columns by their name in the bundle.
+#: Panels that give a day's states: table (or the named symbols' bars), recipe, day column, state columns by their name in the bundle.
 _SECTIONS = [
-    ("lineitem", views.NAMED_BARS.then(breadth.BREADTH), "trade_date", {"breadth_state": "participation_label"}),
-    ("lineitem", views.NAMED_BARS.then(rotation.DAILY), "trade_date", {"rotation_state": "rotation_state"}),
-    ("lineitem", views.NAMED_BARS.then(macro.CROSS_ASSET), "trade_date", {"cross_state": "intermarket_state"}),
+    ("named bars", breadth.BREADTH, "trade_date", {"breadth_state": "participation_label"}),
+    ("named bars", rotation.DAILY, "trade_date", {"rotation_state": "rotation_state"}),
+    ("named bars", macro.CROSS_ASSET, "trade_date", {"cross_state": "intermarket_state"}),
     ("lineitem", views.SERIES_POINTS.then(macro.RATES), "observation_date", {"rates_state": "liquidity_regime"}),
-    ("lineitem", views.NAMED_BARS.then(macro.VOLATILITY), "trade_date", {"volatility_state": "volatility_regime"}),
+    ("named bars", macro.VOLATILITY, "trade_date", {"volatility_state": "volatility_regime"}),
     ("orders", views.CALENDAR.then(calendar_news.EVENT_DAYS), "observation_date", {"event_state": "event_risk"}),
     ("orders", FLOW_ROWS.then(scores.FLOWS), "flow_date", {"flow_state": "flow_regime"}),
     ("documents", views.ARTICLES.then(calendar_news.NEWS_DAYS), "observation_date", {"news_state": "sentiment_regime"}),
-    ("lineitem", views.NAMED_BARS.then(prices.PANEL).group(["trade_date"], trend=(f"bround(avg({synthesis.trend_score('trend_state')}), 3)", f"round_even(avg({synthesis.trend_score('trend_state')}), 3)")), "trade_date", {"price_trend_score": "trend"}),
+    ("named bars", prices.PANEL.group(["trade_date"], trend=(f"bround(avg({synthesis.trend_score('trend_state')}), 3)", f"round_even(avg({synthesis.trend_score('trend_state')}), 3)")), "trade_date", {"price_trend_score": "trend"}),
 ]
 #: Panels by symbol; a symbol reports on one day, and the day's least symbol stands for its section.
 _REPORTED = ("date_add(DATE '1995-01-02', CAST(CAST(substr(symbol, 2) AS BIGINT) % 2500 AS INT))", "DATE '1995-01-02' + CAST(CAST(substr(symbol, 2) AS BIGINT) % 2500 AS INTEGER)")
@@ -170,15 +171,18 @@ def _section(recipe: Recipe, day: str, states: dict[str, str]) -> Recipe:
 
 def bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each day of the breadth panel, all sections joined to it by day."""
-    whole: DataFrame | None = None
+    # five sections share the bars, which are a row for each named symbol and day however large the table
+    path = folder(spark)
+    views.NAMED_BARS.apply(table(spark, sf_dir, "lineitem")).write.parquet(path)
+    bars, whole = spark.read.parquet(path), None
     for source, recipe, day, states in _SECTIONS:
-        part = _section(recipe, day, states).apply(table(spark, sf_dir, source))
+        part = _section(recipe, day, states).apply(bars if source == "named bars" else table(spark, sf_dir, source))
         whole = part if whole is None else whole.join(part, "observation_date", "left")
     return synthesis.SYNTHESIS.pick(*synthesis.COLUMNS).apply(whole)
 
 
 def bundle_sql() -> str:
-    parts = [_section(r, d, s).sql(t) for t, r, d, s in _SECTIONS]
+    parts = [_section(r, d, s).sql(views.NAMED_BARS.sql("lineitem") if t == "named bars" else t) for t, r, d, s in _SECTIONS]
     joined = f"{parts[0]} t0" + "".join(f" LEFT JOIN {p} t{i} USING (observation_date)" for i, p in enumerate(parts[1:], 1))
     return query(synthesis.SYNTHESIS.pick(*synthesis.COLUMNS).sql(f"(SELECT * FROM {joined})"))
 

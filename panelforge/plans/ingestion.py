@@ -114,10 +114,7 @@ SELECT symbol, write_status, count(*) AS n FROM (
 
 
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source, checkpoints = _apply(TYPED, spark, sf_dir), _apply(CHECKPOINTS, spark, sf_dir)
-    fresh = upsert.resume(source, checkpoints, "1993-01-01")
-    valid = upsert.first_wins(quality.CHECKED.apply(fresh).where("valid"), upsert.KEY, ["seq"])
-    return upsert.load_summary(source, fresh, valid, checkpoints)
+    return upsert.load_summary(_apply(TYPED, spark, sf_dir), _apply(CHECKPOINTS, spark, sf_dir), quality.CHECKED, "1993-01-01")
 
 
 INCREMENTAL_SQL = f"""

@@ -2,27 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.plans.catalog import Catalog
 from panelforge.sources import files, views
+from panelforge.sources.files import folder
 from panelforge.sources.views import table
 
 
-def folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; where that is unset and all runs on one machine, a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="panelforge-files-")
-    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
-
-
 def _bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.NAMED_BARS.apply(table(spark, sf_dir, "lineitem")).withColumn("month", F.date_format("trade_date", "yyyy-MM"))
 

@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Columns of option files in their order, and names of the lists in responses.
 OPTION_HEADER = ["ticker", "volume", "open", "close", "high", "low", "window_start", "transactions"]
 LISTS = ("historical_ohlcv", "rows", "data", "ohlcv", "historical", "results")
 
 
+def folder(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir; where that is unset and all runs on one machine, a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="panelforge-files-")
+    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV, plain or gzip, all columns as text in lower case, with the file it came from."""
     df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
