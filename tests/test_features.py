@@ -36,6 +36,20 @@ def test_nulls_are_compacted_before_windows(spark):
     assert r["return_1d"] == pytest.approx(0.1)
 
 
+def test_windows_take_the_last_values_that_exist(spark):
+    """One missing volume and one missing high among 80 bars: 14 ranges and 20 volumes from before and after them."""
+    df = bars(spark, [100.0 + i for i in range(80)])
+    holes = df.selectExpr("symbol", "trade_date", "open", "CASE WHEN day(trade_date) = 15 AND month(trade_date) = 3 THEN NULL ELSE high END AS high", "low", "close", "CASE WHEN day(trade_date) = 16 AND month(trade_date) = 3 THEN NULL ELSE close - 90 END AS volume")
+    r = last(prices.PANEL.apply(holes))
+    # the last day is the 80th, 20 March: close 179, volume 89; the 16th (close 175) has no volume
+    volumes = [v for v in range(69 - 1, 90) if v != 85][-20:]
+    assert r["true_range"] == 2.0 and r["atr_14"] == 2.0
+    assert r["relative_volume_20"] == pytest.approx(89 / (sum(volumes) / 20))
+    assert r["adv_20"] == pytest.approx(sum(v * (v + 90) for v in volumes) / 20)
+    zero = bars(spark, [100.0, 0.0] + [float(100 + i % 2) for i in range(25)])
+    assert last(prices.PANEL.apply(zero))["volatility_20d"] is not None
+
+
 def test_flat_prices_have_no_trend(spark):
     r = last(prices.PANEL.apply(bars(spark, [5.0] * 80)))
     assert r["return_20d"] == 0 and r["trend_state"] == "INSUFFICIENT_DATA"
@@ -67,7 +81,7 @@ def test_rotation_ranks_break_ties_by_symbol(spark):
     ranks = {r["symbol"]: r["rank_20d"] for r in day}
     assert ranks == {"XLF": 1, "XLK": 2, "XLU": 3}
     daily = last(rotation.DAILY.apply(df))
-    assert daily["strongest"] == "XLF,XLK,XLU" and daily["sectors"] == 3
+    assert daily["top_symbols"] == "XLF,XLK,XLU" and daily["sectors"] == 3
 
 
 def test_volatility_regimes(spark):
