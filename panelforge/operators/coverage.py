@@ -24,6 +24,8 @@ def trading_days_sql(source: str, column: str = "trade_date") -> str:
     return f"(SELECT day FROM (SELECT CAST(unnest(generate_series(low, high, INTERVAL 1 DAY)) AS DATE) AS day FROM {ends}) WHERE isodow(day) < 6 AND day NOT IN ({closed}))"
 
 
+#: Trading days with the ones before and after them.
+NEIGHBOURS = Recipe().add(previous_day="lag(day, 1) OVER (ORDER BY day)", next_day="lead(day, 1) OVER (ORDER BY day)", days_since=("datediff(day, lag(day, 1) OVER (ORDER BY day))", "date_diff('day', lag(day, 1) OVER (ORDER BY day), day)"))
 #: Expected days joined to a symbol's days: (symbol, day, seen) in.
 COVERAGE = (
     Recipe()

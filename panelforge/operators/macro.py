@@ -16,13 +16,13 @@ def _pivot(value: str, key: str, names: tuple[str, ...] | list[str], prefix: str
     return {f"{prefix}{n.lower()}": f"max(CASE WHEN {key} = '{n}' THEN {value} END)" for n in names}
 
 
-#: (symbol, trade_date, close): component scores from 20-day returns of nine assets.
+#: (symbol, trade_date, close): returns of nine assets over 5, 20 and 60 rows, component scores from those over 20.
 CROSS_ASSET = (
     Recipe()
     .where("close IS NOT NULL AND symbol IN (" + ", ".join(f"'{a}'" for a in ASSETS) + ")")
-    .add(past=_lag("close", 20, "symbol", "trade_date"))
-    .add(r20="(close - past) / nullif(past, 0)")
-    .group(["trade_date"], **_pivot("r20", "symbol", ASSETS, "r20_"))
+    .add(**{f"past_{n}": _lag("close", n, "symbol", "trade_date") for n in (5, 20, 60)})
+    .add(**{f"r{n}": f"(close - past_{n}) / nullif(past_{n}, 0)" for n in (5, 20, 60)})
+    .group(["trade_date"], **{k: v for n in (5, 20, 60) for k, v in _pivot(f"r{n}", "symbol", ASSETS, f"r{n}_").items()})
     .add(
         equity=row_mean("r20_spy", "r20_qqq", "r20_iwm"),
         credit="r20_hyg",
@@ -47,7 +47,7 @@ CROSS_ASSET = (
     )
     .add(divergence="intermarket_state = 'EQUITY_CREDIT_DIVERGENCE'")
 )
-CROSS_ASSET_COLUMNS = ["trade_date", "equity", "credit", "rates", "dollar", "commodity", "volatility", "alignment", "risk_on", "risk_off", "divergence", "intermarket_state"]
+CROSS_ASSET_COLUMNS = ["trade_date", "equity", "credit", "rates", "dollar", "commodity", "volatility", "alignment", "risk_on", "risk_off", "divergence", "intermarket_state", *(f"r{n}_{a.lower()}" for n in (5, 20, 60) for a in ASSETS)]
 
 _RATES = ("FED_FUNDS", "US10Y", "US2Y", "REAL_YIELD_10Y", "DXY", "HYG", "SPY")
 _PRESSURES = ("short_rate", "long_rate", "curve", "real_yield", "dollar")

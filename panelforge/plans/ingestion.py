@@ -53,6 +53,11 @@ def coverage_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.expected_days(bars, coverage.trading_days(bars))
 
 
+def trading_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar of the days that orders span; a few thousand rows, so that its window may be one partition."""
+    return coverage.NEIGHBOURS.apply(coverage.trading_days(table(spark, sf_dir, "orders"), "o_orderdate"))
+
+
 COVERAGE_PANEL_SQL = coverage.expected_days_sql(views.NAMED_BARS.sql("lineitem"), coverage.trading_days_sql(views.NAMED_BARS.sql("lineitem")))
 
 
@@ -202,6 +207,7 @@ def register(c: Catalog) -> None:
     c.recipe("recent_rows", "customer", RECENT)
     c.plan("series_evidence", series_evidence, SERIES_SQL)
     c.plan("upsert_bars", upsert_bars, UPSERT_SQL)
+    c.plan("trading_calendar", trading_calendar, query(coverage.NEIGHBOURS.sql(coverage.trading_days_sql("orders", "o_orderdate"))))
     c.plan("upsert_counts", upsert_counts, f"SELECT symbol, {', '.join(f'''count(CASE WHEN action = '{a}' THEN 1 END) AS {a}''' for a in _UPSERT_COUNTS)} FROM ({UPSERT_SQL}) GROUP BY symbol")
     c.plan("snapshot_write", snapshot_write, SNAPSHOT_SQL)
     c.plan("incremental_load", incremental_load, INCREMENTAL_SQL)
