@@ -190,10 +190,16 @@ def _deal(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return segment[begin], np.r_[begin, len(segment)]
 
 
+def _each(batch: pa.RecordBatch) -> Iterator[list]:
+    """Rows one at a time, as a row holds a whole chunk."""
+    for i in range(batch.num_rows):
+        yield [column[i].as_py() for column in batch.columns]
+
+
 def _dealt_words(bits: int):
     def run(batches):
         for batch in batches:
-            for chunk, words, counts in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            for chunk, words, counts in _each(batch):
                 hashes, counts = np.frombuffer(words, dtype=np.uint64), np.frombuffer(counts, dtype="<i4")
                 segment, cut = _deal(hashes, bits)
                 rows = [(chunk, s, hashes[a:b].tobytes(), counts[a:b].tobytes()) for s, a, b in zip(segment.tolist(), cut, cut[1:])]
@@ -205,7 +211,7 @@ def _dealt_words(bits: int):
 def _dealt_bigrams(bits: int):
     def run(batches):
         for batch in batches:
-            for n_tokens, held, words, tokens in zip(*(batch.column(c).to_pylist() for c in range(4))):
+            for n_tokens, held, words, tokens in _each(batch):
                 hashes = np.frombuffer(words, dtype=np.uint64)[unpack_ids(tokens)]
                 before = np.r_[np.uint64(END), hashes[:-1]]
                 used = ~np.repeat(np.array(held, dtype=bool), n_tokens)
@@ -290,7 +296,7 @@ def _probes(bits: int):
 
     def run(batches):
         for batch in batches:
-            for chunk, words, tokens in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            for chunk, words, tokens in _each(batch):
                 found = np.unique(_bigrams_of(words, tokens)[3])
                 segment, cut = _deal(found, bits)
                 yield _batch([(chunk, s, _bytes48(found[a:b] & LOW48)) for s, a, b in zip(segment.tolist(), cut, cut[1:])], ["chunk", "segment", "keys"])
@@ -312,7 +318,7 @@ def _probed(base: float, probes: int):
 
 def score_documents(
     docs: DataFrame,
-    chunk_tokens: int = 1 << 20,
+    chunk_tokens: int = 1 << 19,
     broadcast_bytes: int = 1 << 26,
     bits_per_key: int = 10,
     base: float = 1.5,
