@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from panelforge.llm import additive_ann, bloom_lm, bpe_tree, chat, fuzzy_lines, langid, packing, rare_digest, simhash_trie, suffix_dedup
+from panelforge.llm import additive_ann, bloom_lm, bpe_tree, chat, fuzzy_lines, langid, packing, piece_rounds, rare_digest, simhash_trie, suffix_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,8 +64,12 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_piece_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_rounds.piece_digest(_table(spark, sf_dir, "documents"), PIECES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_perspective_rotation, op2_suffix_dedup, op3_additive_quantisation, op4_rare_feature_digest, op5_log_frequency_bloom_lm, op6_language_spans, op7_bpe_segment_tree, op8_cost_balanced_packing, op9_simhash_trie, op10_fuzzy_lines)}
+    return {f.__name__: f for f in (op1_perspective_rotation, op2_suffix_dedup, op3_additive_quantisation, op4_rare_feature_digest, op5_log_frequency_bloom_lm, op6_language_spans, op7_bpe_segment_tree, op8_cost_balanced_packing, op9_simhash_trie, op10_fuzzy_lines, op11_piece_rounds)}
 
 
 def oracle_sql() -> dict[str, str]:

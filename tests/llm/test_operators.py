@@ -465,10 +465,11 @@ def test_encoding_of_any_characters(library):
 
 def test_full_store_is_emptied(library):
     texts = [f"alpha beta{i} gamma{i % 7}" for i in range(50)]
-    encoder = bpe_tree.DigestEncoder(PATH, max_words=5)
+    encoder = bpe_tree.DigestEncoder(PATH, max_bytes=2_000)
     for _ in range(2):
         for text, pieces in zip(texts, [p for t in texts for g in encoder.batches([t]) for p in [encoder.ids(g[0])]]):
             assert np.frombuffer(pieces, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert encoder.held < 2_000 + 3 * 500
     assert len(encoder.known) == len(encoder.text) < 20
 
 
