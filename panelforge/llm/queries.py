@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from panelforge.llm import additive_ann, bloom_lm, bpe_tree, chat, fuzzy_lines, langid, packing, piece_rounds, rare_digest, simhash_trie, suffix_dedup
+from panelforge.llm import additive_ann, bloom_lm, bpe_tree, chat, fuzzy_lines, langid, packing, piece_rounds, rare_digest, simhash_trie, suffix_dedup, token_links
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,8 +69,12 @@ def op11_piece_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_rounds.piece_digest(_table(spark, sf_dir, "documents"), PIECES)
 
 
+def op12_diagonal_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_links.align_corpus(_table(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_perspective_rotation, op2_suffix_dedup, op3_additive_quantisation, op4_rare_feature_digest, op5_log_frequency_bloom_lm, op6_language_spans, op7_bpe_segment_tree, op8_cost_balanced_packing, op9_simhash_trie, op10_fuzzy_lines, op11_piece_rounds)}
+    return {f.__name__: f for f in (op1_perspective_rotation, op2_suffix_dedup, op3_additive_quantisation, op4_rare_feature_digest, op5_log_frequency_bloom_lm, op6_language_spans, op7_bpe_segment_tree, op8_cost_balanced_packing, op9_simhash_trie, op10_fuzzy_lines, op11_piece_rounds, op12_diagonal_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
