@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from panelforge.llm import additive_ann, bloom_lm, bpe_tree, chat, fuzzy_lines, langid, packing, piece_rounds, rare_digest, simhash_trie, suffix_dedup, token_links
+from panelforge.llm import additive_ann, bloom_lm, bpe_tree, chat, fuzzy_lines, langid, packing, piece_rounds, prefix_trie, rare_digest, simhash_trie, suffix_dedup, token_links
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -73,9 +73,13 @@ def op12_diagonal_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_links.align_corpus(_table(spark, sf_dir, "documents"), BYTES, PIECES)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_perspective_rotation, op2_suffix_dedup, op3_additive_quantisation, op4_rare_feature_digest, op5_log_frequency_bloom_lm, op6_language_spans, op7_bpe_segment_tree, op8_cost_balanced_packing, op9_simhash_trie, op10_fuzzy_lines, op11_piece_rounds, op12_diagonal_alignment)}
+    return {f.__name__: f for f in (op1_perspective_rotation, op2_suffix_dedup, op3_additive_quantisation, op4_rare_feature_digest, op5_log_frequency_bloom_lm, op6_language_spans, op7_bpe_segment_tree, op8_cost_balanced_packing, op9_simhash_trie, op10_fuzzy_lines, op11_piece_rounds, op12_diagonal_alignment, op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_perspective_rotation": chat.ORACLE_SQL}
+    return {"op1_perspective_rotation": chat.ORACLE_SQL, "op13_prefix_trie": prefix_trie.ORACLE_SQL}
