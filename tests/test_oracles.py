@@ -6,12 +6,12 @@ import decimal
 import duckdb
 import pytest
 
-from panelforge.plans import acceptances, batches, catalog, features, handoffs, ingestion, observations, round_trips, vendors
+from panelforge.plans import acceptances, batches, catalog, features, handoffs, ingestion, loads, observations, round_trips, vendors
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
 LIBRARY = catalog.Catalog()
-for module in (features, ingestion, handoffs, batches, vendors, acceptances, round_trips, observations):
+for module in (features, ingestion, handoffs, batches, vendors, acceptances, round_trips, observations, loads):
     module.register(LIBRARY)
 
 
