@@ -12,7 +12,7 @@ over this table: added up in each task, summed by Spark, and returned to the tas
 Defined cases: null and empty texts, and texts whose tokens' bytes are not those of a blank and the text (those that
 hold U+2581), have no tokens: zeros and an empty ``groups_sha256``, and no links. Repeated rows and ids count as often
 as they occur; null ids pass through; other columns of the input are left out; an empty table gives no rows. Texts are
-encoded whole, word by word, with stores of words that are bounded in bytes.
+encoded whole, by units between blanks, with a store of units that is bounded in bytes.
 """
 
 from __future__ import annotations
@@ -26,19 +26,18 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from panelforge.llm.bpe_tree import _LETTER, _NUMBER, _SPACE, BEYOND_LATIN, _field, byte_symbols
+from panelforge.llm.bpe_tree import _field, byte_symbols
 from panelforge.llm.piece_rounds import MARK, PieceEncoder, pieces_of
 from panelforge.llm.scratch import materialize, text_slices
 
-#: Pattern of byte-level vocabularies' splitter, with its white space spelled out.
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-#: The same pattern for texts up to U+024F, where the standard library's engine is twice as fast.
-LATIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: Units of a text, in which no token of either side begins before and ends behind: both vocabularies cut between a
+#: character that is no white space and a blank. The plain pattern serves texts without other white space before a blank.
+UNITS = re.compile(" *[^ ]+| +")
+MIXED_SPACE, BETWEEN = re.compile(r"[^\S ] "), re.compile(r"(?<=\S)(?= )")
 
 
 @functools.lru_cache(maxsize=4)
@@ -115,105 +114,81 @@ def diagonal_groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray,
     return last_a, last_a + np.repeat(shift, count)
 
 
-class Words:
-    """A store of words' ids, emptied beyond ``max_bytes``; ``lost``: words whose tokens' bytes are not theirs."""
+class Units:
+    """A store of units' ids on both sides, emptied beyond ``max_bytes``; ``lost``: units whose tokens' bytes are not theirs."""
 
-    WORD_BYTES = 200
+    UNIT_BYTES = 300
 
-    def __init__(self, max_bytes: int = 64 << 20):
-        self.max_bytes, self.held, self.known, self.lost = max_bytes, 0, {}, set()
-
-    def learn(self, words: Iterable[str]) -> None:
-        """``encode`` gives all words' ids and where each word's end."""
-        if self.held > self.max_bytes:
-            self.known.clear()
-            self.lost.clear()
-            self.held = 0
-        fresh = list(set(words).difference(self.known))
-        if not fresh:
-            return
-        ids, ends = self.encode(fresh)
-        sizes = np.diff(np.r_[0, np.cumsum(self.sizes[ids])][np.r_[0, ends]])
-        plain = [self.plain(w) for w in fresh]
-        raw, token = ids.astype("<i4").tobytes(), self.bytes.__getitem__
-        stops = ends.tolist()
-        coded = [raw[4 * i : 4 * k] for i, k in zip([0, *stops], stops)]
-        if sizes.tolist() != list(map(len, plain)) or b"".join(map(token, ids.tolist())) != b"".join(plain):
-            self.lost.update(f for f, c, w in zip(fresh, coded, plain) if b"".join(map(token, np.frombuffer(c, dtype="<i4").tolist())) != w)
-        self.known.update(zip(fresh, coded))
-        self.held += self.WORD_BYTES * len(fresh) + sum(map(len, plain)) + len(raw)
-
-    def tokens(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids and ends of a text's tokens."""
-        if self.lost and not self.lost.isdisjoint(words):
-            return None
-        ids = np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype="<i4")
-        return ids, np.cumsum(self.sizes[ids])
-
-
-class ByteWords(Words):
-    """Words of a byte-level vocabulary, split by its pattern."""
-
-    def __init__(self, path: str, **limits):
-        super().__init__(**limits)
-        self.library = Tokenizer.from_file(path)
+    def __init__(self, bytes_path: str, pieces_path: str, max_bytes: int = 128 << 20):
+        self.library = Tokenizer.from_file(bytes_path)
         self.library.encode_special_tokens = True
         self.library.no_padding()
         self.library.no_truncation()
-        self.bytes = byte_tokens(path)
-        self.sizes = np.fromiter(map(len, self.bytes), np.int64, len(self.bytes))
+        self.rounds = PieceEncoder(pieces_path)
+        self.bytes = byte_tokens(bytes_path), self.rounds.vocab.bytes
+        self.sizes = [np.fromiter(map(len, side), np.int64, len(side)) for side in self.bytes]
+        self.max_bytes, self.held, self.known, self.lost = max_bytes, 0, {}, set()
 
     def split(self, text: str) -> list[str]:
         text = " " + text
-        return (WORDS if BEYOND_LATIN.search(text) else LATIN_WORDS).findall(text)
+        return BETWEEN.split(text) if MIXED_SPACE.search(text) else UNITS.findall(text)
 
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        coded = [x.ids for x in self.library.encode_batch(words, add_special_tokens=False)]
+    def encode_bytes(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units one after the other, and where each unit's end."""
+        coded = [x.ids for x in self.library.encode_batch(units, add_special_tokens=False)]
         return np.fromiter(itertools.chain.from_iterable(coded), np.int64), np.cumsum(list(map(len, coded)))
 
-    def plain(self, word: str) -> bytes:
-        return word.encode()
+    def encode_pieces(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        words = [self.rounds.vocab.words.findall(u.replace(" ", MARK)) for u in units]
+        ids, ends = self.rounds.encode_words(list(itertools.chain.from_iterable(words)))
+        return ids, ends[np.cumsum(list(map(len, words))) - 1]
 
-
-class PieceWords(Words):
-    """Words of a SentencePiece vocabulary, by its merge rounds."""
-
-    def __init__(self, path: str, **limits):
-        super().__init__(**limits)
-        self.rounds = PieceEncoder(path)
-        self.bytes = self.rounds.vocab.bytes
-        self.sizes = np.fromiter(map(len, self.bytes), np.int64, len(self.bytes))
-
-    def split(self, text: str) -> list[str]:
-        return self.rounds.split(text)
-
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.rounds.encode_words(words)
-
-    def plain(self, word: str) -> bytes:
-        return word.replace(MARK, " ").encode()
+    def learn(self, units: Iterable[str]) -> None:
+        """Encode the units that are not in the store yet."""
+        if self.held > self.max_bytes:
+            self.known.clear()
+            self.lost.clear()
+            self.held = 0
+        fresh = list(set(units).difference(self.known))
+        if not fresh:
+            return
+        plain = [u.encode() for u in fresh]
+        self.held += self.UNIT_BYTES * len(fresh) + sum(map(len, plain))
+        coded = []
+        for (ids, ends), token, sizes in zip((self.encode_bytes(fresh), self.encode_pieces(fresh)), self.bytes, self.sizes):
+            raw, stops = ids.astype("<i4").tobytes(), ends.tolist()
+            coded.append([raw[4 * i : 4 * k] for i, k in zip([0, *stops], stops)])
+            self.held += len(raw)
+            lengths = np.diff(np.r_[0, np.cumsum(sizes[ids])][np.r_[0, ends]])
+            if lengths.tolist() != list(map(len, plain)) or b"".join(map(token.__getitem__, ids.tolist())) != b"".join(plain):
+                self.lost.update(u for u, c, p in zip(fresh, coded[-1], plain) if b"".join(map(token.__getitem__, np.frombuffer(c, dtype="<i4").tolist())) != p)
+        self.known.update(zip(fresh, zip(*coded)))
+
+    def tokens(self, units: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Ids and ends of a text's tokens on both sides."""
+        if self.lost and not self.lost.isdisjoint(units):
+            return None
+        ids = [np.frombuffer(b"".join(side), dtype="<i4") for side in zip(*map(self.known.__getitem__, units))]
+        return [(i, np.cumsum(sizes[i])) for i, sizes in zip(ids, self.sizes)]
 
 
 class Aligner:
     """Groups and links of texts, for one pair of vocabularies."""
 
     def __init__(self, bytes_path: str, pieces_path: str):
-        self.a, self.b = ByteWords(bytes_path), PieceWords(pieces_path)
+        self.units = Units(bytes_path, pieces_path)
         self.table = link_table(bytes_path, pieces_path)
         # each id's decimal digits, followed by what stands behind it inside a group, behind A's last and behind B's last
-        self.texts = [np.array([f"{i}{end}" for i in range(n)], dtype=object) for n, end in ((len(self.a.bytes), ","), (len(self.a.bytes), "|"), (len(self.b.bytes), ","), (len(self.b.bytes), ";"))]
+        n_a, n_b = map(len, self.units.bytes)
+        self.texts = [np.array([f"{i}{end}" for i in range(n)], dtype=object) for n, end in ((n_a, ","), (n_a, "|"), (n_b, ","), (n_b, ";"))]
 
     def align(self, texts: list[str]) -> Iterable[tuple | None]:
         """(A ids, B ids, last A index and last B index of each group) of each text, None without tokens."""
-        split = [None if MARK in t or not t else (self.a.split(t), self.b.split(t)) for t in texts]
-        for k, side in enumerate((self.a, self.b)):
-            side.learn(set().union(*[s[k] for s in split if s]))
-        for words in split:
-            left, right = (self.a.tokens(words[0]), self.b.tokens(words[1])) if words else (None, None)
-            if left is None or right is None:
-                yield None
-            else:
-                yield left[0], right[0], *diagonal_groups(left[1], right[1])
+        split = [None if MARK in t or not t else self.units.split(t) for t in texts]
+        self.units.learn(set().union(*filter(None, split)))
+        for units in split:
+            sides = self.units.tokens(units) if units else None
+            yield (sides[0][0], sides[1][0], *diagonal_groups(sides[0][1], sides[1][1])) if sides else None
 
     def groups_text(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
         """Decimal ids as ``a1,a2|b1;a3|b2,b3``."""

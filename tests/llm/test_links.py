@@ -15,7 +15,7 @@ A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piec
 SF = "/root/testdata/sf0.001"
 ODD = [
     (1, None), (2, ""), (3, "a"), (3, "a"), (None, "b c"), (5, "<|endoftext|> It's </s> 2024!  Ünḯ"), (6, "x" * 5000), (7, "mark ▁ inside"), (8, "▁"), (9, "\n\n \t\x1c\x85"),
-    (10, "中𐍈 👍🏽 é"), (11, " "), (12, " " * 333), (13, "tail   "), (14, "word " * 4000),
+    (10, "中𐍈 👍🏽 é"), (11, " "), (12, " " * 333), (13, "tail   "), (15, "a\n  b \t c\x1c  d\u3000 e\n"), (14, "word " * 4000),
 ]
 
 
@@ -78,7 +78,7 @@ def test_corpus(spark):
 
 def test_texts_of_any_characters():
     rng = random.Random(5)
-    chars = [chr(c) for c in [*range(0, 700), 0x2581, 0x2028, 0x3000, 0x4E2D, 0x1F600, 0x301, *[0x20] * 60, *map(ord, "aeintrs" * 20)]]
+    chars = [chr(c) for c in [*range(0, 700), 0x2581, 0x2028, 0x3000, 0x4E2D, 0x1F600, 0x301, *[0x20] * 60, *[0x0A, 0x09, 0x0D] * 5, *map(ord, "aeintrs" * 20)]]
     texts = ["".join(rng.choice(chars) for _ in range(rng.randint(0, 50))) for _ in range(800)] + ["".join(rng.choice("aeint rs") for _ in range(200)) for _ in range(200)]
     aligner = token_links.Aligner(A, B)
     for found, want in zip(aligner.align(texts), brute(texts)):
@@ -92,11 +92,11 @@ def test_texts_of_any_characters():
 
 
 def test_full_stores_are_emptied():
-    words = token_links.ByteWords(A, max_bytes=3_000)
+    units = token_links.Units(A, B, max_bytes=3_000)
     for k in range(40):
-        words.learn([f"w{k}", " same", f" v{k % 9}"])
-        assert words.held < 3_000 + 3 * 400
-    assert len(words.known) < 20
+        units.learn([f"w{k}", " same", f" v{k % 9}"])
+        assert units.held < 3_000 + 3 * 400
+    assert len(units.known) < 20
 
 
 def test_nothing(spark):
