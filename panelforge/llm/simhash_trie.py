@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from panelforge.llm.bpe_tree import _field
 from panelforge.llm.components import connected_components
@@ -185,24 +186,58 @@ def near_links(entries: DataFrame, budget: int = 3, hot_limit: int = 2048, level
     return dealt.mapInArrow(_join_trees(budget), "src long, dst long")
 
 
+def _groups(marks: DataFrame, budget: int) -> DataFrame:
+    """fp, low (least (no id, id, fp) of the rows whose fingerprints are linked to it) of the distinct fingerprints.
+
+    A fingerprint stands for itself in the links, so rows without an id link and bridge like any other."""
+    entries = materialize(marks.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("least")))
+    joined = connected_components(near_links(entries.select("fp", F.col("fp").alias("rep")), budget))
+    linked = entries.join(joined.select(F.col("id").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    lows = linked.groupBy("component").agg(F.min("least").alias("low"))
+    return linked.join(lows, "component").select("fp", "low")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, fingerprint (16 hex digits), component_id: the least id linked to the document, itself included.
 
     Null and blank texts have fingerprint zero and link like any other. Ids are longs; a null id takes part with its
-    text but never names a component. Repeated rows come back as often as they came. Very long texts are read whole.
+    text but names no component, so the component of rows that all lack an id is null. Repeated rows, and different
+    texts of one id, come back as often as they came, each with the component of its own text. Very long texts are read
+    whole. Other columns of the input are left out.
     """
     marks = materialize(fingerprints(docs, shingle, id_col, text_col).select(F.col(id_col).cast("long").alias("id"), "fp"))
-    entries = materialize(marks.groupBy("fp").agg(F.min("id").alias("rep")))
-    joined = connected_components(near_links(entries.where("rep is not null"), budget))
-    named = entries.join(joined, entries["rep"] == joined["id"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    named = _groups(marks, budget).select("fp", F.col("low.id").alias("component_id"))
     out = marks.join(named, "fp", "left")
     return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, budget: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names its component; rows with a null id stay."""
-    groups = near_duplicates(docs, shingle, budget, id_col, text_col)
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+def with_fingerprint(docs: DataFrame, shingle: int, text_col: str, name: str) -> DataFrame:
+    """``docs`` with its texts' fingerprints as a signed long."""
+    place = docs.columns.index(text_col)
 
+    def run(batches):
+        for batch in batches:
+            values = np.array([simhash(t, shingle) for _, texts in text_slices(batch, place) for t in texts], dtype=np.uint64)
+            yield batch.append_column(name, pa.array(values.view(np.int64)))
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
+
+def keep_one(docs: DataFrame, shingle: int = 3, budget: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row of each group of near duplicates that has the least id; rows without an id come last.
+
+    Rows are told apart by id and text: of an id that occurs with several texts only the texts that another row stands
+    for go, and of rows with equal id and fingerprint one stays."""
+    marks = materialize(fingerprints(docs, shingle, id_col, text_col).select(F.col(id_col).alias("id"), "fp"))
+    groups = _groups(marks, budget)
+    kept = materialize(groups.select("low").distinct().select("low.id", "low.fp"))
+    gone = marks.join(groups, "fp").where("NOT (id <=> low.id AND fp = low.fp)").select("id").distinct()
+    unsure = materialize(marks.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 OR id IS NULL").select("id"))
+    if unsure.isEmpty():
+        return docs.join(gone.withColumnRenamed("id", id_col), id_col, "left_anti").select(*docs.columns)
+    by_id = lambda df: docs[id_col].eqNullSafe(df["id"])
+    sure = docs.join(unsure, by_id(unsure), "left_anti")
+    sure = sure.join(gone.withColumnRenamed("id", "_gone"), sure[id_col] == F.col("_gone"), "left_anti")
+    rest = with_fingerprint(docs.join(unsure, by_id(unsure), "left_semi"), shingle, text_col, "_fp").dropDuplicates([id_col, "_fp"])
+    rest = rest.join(kept.select(F.col("id").alias("_id"), F.col("fp").alias("_of")), rest[id_col].eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_of")), "left_semi")
+    return sure.select(*docs.columns).unionByName(rest.select(*docs.columns))

@@ -556,6 +556,44 @@ def test_odd_near_duplicates(spark, odd, empty):
     assert kept.columns == odd.columns and kept.where("doc_id = 2").count() == 0 and kept.where("doc_id is null").count() == 1
 
 
+def brute_groups(rows):
+    """Component number of each row: rows link at 3 or fewer differing bits."""
+    prints = [brute_simhash(t) for _, t in rows]
+    label = list(range(len(rows)))
+    while True:
+        low = [min(label[j] for j, q in enumerate(prints) if (p ^ q).bit_count() <= 3) for p in prints]
+        if low == label:
+            return prints, label
+        label = low
+
+
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    rng = np.random.default_rng(12)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    bases = [[word() for _ in range(400)] for _ in range(6)]
+    texts = [" ".join(b[:k] + b[k + 1 :]) for b in bases for k in (3, 90, 200, 399)] + [" ".join(b) for b in bases] + [None, "", "lone words here"]
+    ids = [None, None, 1, 1, 2, 3, 5, 5, 5, None, 9, 12]
+    rows = [(ids[int(rng.integers(len(ids)))], texts[int(rng.integers(len(texts)))]) for _ in range(60)]
+    rows += [(40, texts[0]), (41, texts[4]), (41, texts[8]), (41, texts[8])]
+    prints, label = brute_groups(rows)
+    least = {c: min((i for (i, _), k in zip(rows, label) if k == c and i is not None), default=None) for c in label}
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, fp int")
+    got = collections.Counter((r["doc_id"], r["fingerprint"], r["component_id"]) for r in simhash_trie.near_duplicates(df).collect())
+    assert got == collections.Counter((i, f"{p:016x}", least[c]) for (i, _), p, c in zip(rows, prints, label))
+    keeper = {c: min((i is None, i or 0, p if p < 1 << 63 else p - (1 << 64)) for (i, _), p, k in zip(rows, prints, label) if k == c) for c in label}
+    kept = simhash_trie.keep_one(df).collect()
+    assert len(kept) == len(keeper)
+    assert sorted(keeper.values()) == sorted((r["doc_id"] is None, r["doc_id"] or 0, (lambda p: p if p < 1 << 63 else p - (1 << 64))(brute_simhash(r["text"]))) for r in kept)
+    assert all(rows[r["fp"]] == (r["doc_id"], r["text"]) for r in kept)
+
+
+def test_keep_one_keeps_other_texts_of_an_id(spark):
+    words = [f"w{i}" for i in range(200)]
+    a, b = " ".join(words), " ".join(reversed(words))
+    kept = simhash_trie.keep_one(spark.createDataFrame([(1, a), (5, a), (5, b)], "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept)) == [(1, a), (5, b)]
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (7, 8), (3, 9), (9, 9), (None, 4), (2, 1)] + [(100 + i, 101 + i) for i in range(40)], "src long, dst long")
     out = dict(map(tuple, connected_components(links).collect()))
