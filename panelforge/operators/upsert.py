@@ -29,12 +29,12 @@ def upsert(target: DataFrame, source: DataFrame, key: list[str], order: list[str
     return both.select(*key, *columns, action.alias("action"))
 
 
-def snapshot_status(target: DataFrame, source: DataFrame, grain: list[str], key: str) -> DataFrame:
-    """Source rows with what a write would do: same key is a no-op, same grain under another key a conflict."""
+def snapshot_status(target: DataFrame, source: DataFrame, grain: list[str], key: str, dry_run: bool = False) -> DataFrame:
+    """Source rows with what a write would do: no key is rejected, same key is a no-op, same grain under another key a conflict."""
     keys = target.select(key).distinct().withColumn("_same", F.lit(True))
     grains = target.select(*grain).distinct().withColumn("_taken", F.lit(True))
     both = source.join(keys, key, "left").join(grains, grain, "left")
-    status = F.when(F.col("_same"), "IDEMPOTENT_NOOP").when(F.col("_taken"), "CONFLICT").when(F.col(key).isNull(), "REJECTED").otherwise("WRITE_ACCEPTED")
+    status = F.when(F.col(key).isNull(), "REJECTED").when(F.col("_same"), "IDEMPOTENT_NOOP").when(F.col("_taken"), "CONFLICT").otherwise("DRY_RUN_READY" if dry_run else "WRITE_ACCEPTED")
     return both.withColumn("write_status", status).drop("_same", "_taken")
 
 

@@ -39,9 +39,34 @@ ARTIFACT_ROWS = views.BARS.add(k="CAST(substr(symbol, 2) AS BIGINT)").add(n="cou
 STOCK_ROWS = views.BARS.add(k="CAST(day(trade_date) AS BIGINT)").add(file_sha256=sha256("'day_aggs'", "trade_date")).pick("symbol", "trade_date", "file_sha256", path="'quarantine/' || CAST(trade_date AS STRING)", adjusted_status="CASE k % 4 WHEN 0 THEN ' Adjusted' WHEN 1 THEN 'unadjusted' WHEN 2 THEN NULL ELSE 'maybe' END")
 FETCHED = views.RAW_BARS.pick(symbol="upper(trim(ticker))", ok="date <> 'n/a' AND close <> 'x'")
 BATCHES = Recipe().pick(
-    batch="'b' || CAST(s_nationkey AS STRING)", found="s_suppkey % 12 <> 0", validation_status="CASE s_suppkey % 15 WHEN 0 THEN 'ERROR' WHEN 1 THEN 'WARN' ELSE 'PASS' END", coverage_status="CASE WHEN s_suppkey % 14 = 0 THEN 'PARTIAL' ELSE 'COMPLETE' END",
-    quality_status="CASE WHEN s_suppkey % 16 = 0 THEN 'WARN' ELSE 'PASS' END", certification_status="CASE WHEN s_suppkey % 18 = 0 THEN 'NONE' ELSE 'DRY_RUN_CERTIFIED' END",
+    batch="'b' || CAST(o_custkey AS STRING)", found="CASE o_orderkey % 36 WHEN 0 THEN NULL ELSE o_orderkey % 12 <> 0 END", validation_status="CASE o_orderkey % 25 WHEN 0 THEN 'ERROR' WHEN 1 THEN 'WARN' WHEN 2 THEN NULL ELSE 'PASS' END",
+    coverage_status="CASE o_orderkey % 24 WHEN 0 THEN 'PARTIAL' WHEN 1 THEN NULL ELSE 'COMPLETE' END", quality_status="CASE o_orderkey % 26 WHEN 0 THEN 'WARN' WHEN 1 THEN NULL ELSE 'PASS' END",
+    certification_status="CASE o_orderkey % 28 WHEN 0 THEN 'NONE' WHEN 1 THEN NULL WHEN 2 THEN 'FIXTURE_CERTIFIED' ELSE 'DRY_RUN_CERTIFIED' END",
 )
+#: A batch passes a status only if every symbol that was found has it; one without evidence leaves the validation as it is.
+BATCHES_SQL = f"""
+WITH told AS (
+    SELECT batch, coalesce(found, false) AND validation_status IS DISTINCT FROM 'ERROR' AS good, coalesce(found, false) AS found,
+        validation_status IS NOT DISTINCT FROM 'PASS' AS v, coverage_status IS NOT DISTINCT FROM 'COMPLETE' AS c, quality_status IS NOT DISTINCT FROM 'PASS' AS q, coalesce(certification_status LIKE '%\\_CERTIFIED' ESCAPE '\\', false) AS k
+    FROM {BATCHES.sql('orders')}
+)
+SELECT batch, count(*) FILTER (WHERE good) AS succeeded, count(*) FILTER (WHERE NOT good) AS failed,
+    if(bool_and(NOT found OR (good AND v)), 'PASS', 'FAILED') AS validation_status, if(bool_and(good AND c), 'COMPLETE', 'MISSING') AS coverage_status,
+    if(bool_and(good AND q), 'PASS', 'WARN') AS quality_status, if(bool_and(good AND k), 'CERTIFIED', 'UNCERTIFIED') AS certification_status
+FROM told GROUP BY batch
+"""
+REQUIRED_SYMBOLS = [rotation.BENCHMARK, *rotation.SECTORS, "QQQ", " xaa", "ZZZ"]
+HISTORY_SQL = f"""
+WITH h AS (SELECT *, upper(trim(quality_status)) AS q, upper(trim(certification_status)) AS c, upper(trim(freshness_status)) AS f FROM {HISTORY.sql('lineitem')}),
+told AS (
+    SELECT symbol, trade_date, CASE WHEN q IS NOT NULL AND q <> 'VALID' AND q <> 'WARNING' AND q <> 'PENDING' THEN 'rejected_quality_status' WHEN c IS NOT NULL AND c <> 'CERTIFIED' AND c <> 'PENDING' AND c <> 'UNCERTIFIED' THEN 'rejected_certification_status'
+        WHEN f IS NOT NULL AND NOT list_contains(['FRESH', 'DELAYED', 'PENDING', 'UNKNOWN', 'STALE'], f) THEN 'rejected_freshness_status' WHEN close IS NULL THEN 'missing_or_invalid_close' END AS why
+    FROM h
+),
+wanted AS (SELECT DISTINCT upper(trim(s)) AS symbol FROM (SELECT unnest([{', '.join(f"'{s}'" for s in REQUIRED_SYMBOLS)}]) AS s)),
+counted AS (SELECT w.symbol, count(t.symbol) FILTER (WHERE why IS NULL) AS history, count(why) AS rejected, coalesce(string_agg(DISTINCT why, ',' ORDER BY why), '') AS rejections, min(trade_date) FILTER (WHERE why IS NULL) AS first_day, max(trade_date) FILTER (WHERE why IS NULL) AS last_day FROM wanted w LEFT JOIN told t ON t.symbol = w.symbol GROUP BY w.symbol)
+SELECT *, CASE WHEN history = 0 THEN 'missing_required_symbol,insufficient_history' WHEN history < 61 THEN 'insufficient_history' ELSE '' END AS warnings FROM counted
+"""
 _POINTS = views.SERIES_POINTS.add(n="CAST(day(observation_date) AS BIGINT)")
 STORED = _POINTS.where("n % 2 = 0").pick("series", "observation_date", value="value", released="'old'", source="'s'")
 ARRIVED = _POINTS.add(copy=("explode(sequence(0, CASE WHEN n % 9 = 0 THEN 1 ELSE 0 END))", "unnest(range(0, CASE WHEN n % 9 = 0 THEN 2 ELSE 1 END))")).where("n % 3 = 0").pick("series", "observation_date", "copy", value="value + 1 + copy", released="'new'", source="'s'")
@@ -111,12 +136,13 @@ def register(c: Catalog) -> None:
     c.recipe("manifest_checks", "orders", MANIFESTS, a.MANIFEST, columns=["o_orderkey", "errors", "accepted"])
     c.recipe("option_handoff_checks", "part", OPTION_RECORDS, a.OPTION_HANDOFF, columns=["p_partkey", "source_dataset", "errors"])
     c.recipe("bundle_checks", "orders", BUNDLES, a.BUNDLE, columns=["o_orderkey", "errors", "is_valid"])
-    c.recipe("certified_history", "lineitem", HISTORY, a.CERTIFIED_COUNTS)
+    c.plan("certified_history", lambda spark, sf_dir: a.certified_history(HISTORY.apply(table(spark, sf_dir, "lineitem")), REQUIRED_SYMBOLS), HISTORY_SQL)
     c.recipe("artifact_checks", "lineitem", ARTIFACT_ROWS, a.ARTIFACT_FILES)
     c.recipe("intake_descriptor", "lineitem", ARTIFACT_ROWS, a.DESCRIPTOR)
     c.recipe("stock_artifact_keys", "lineitem", STOCK_ROWS, a.STOCK_KEYS, columns=["symbol", "trade_date", "lineage_id", "row_key", "record_digest"])
     c.recipe("fanout_report", "lineitem", FETCHED, a.FANOUT)
-    c.recipe("multi_symbol_status", "supplier", BATCHES, a.MULTI_SYMBOL)
+    c.plan("multi_symbol_status", lambda spark, sf_dir: a.MULTI_SYMBOL.apply(BATCHES.apply(table(spark, sf_dir, "orders"))), BATCHES_SQL)
+    c.recipe("fanout_totals", "lineitem", FETCHED, a.FANOUT_TOTALS)
     c.recipe("symbol_master_batch", "customer", views.REFERENCE_TICKERS, normalize.SYMBOL_MASTER, a.symbol_batch(tuple(f"x{i}" for i in range(20)), ("stock", "etf", "index", "common_stock", "adr")))
     c.plan("macro_writes", lambda spark, sf_dir: macro_writes_of(spark, sf_dir, ()), macro_sql("coalesce(a.released, s.released)"))
     c.plan("macro_value_writes", lambda spark, sf_dir: macro_writes_of(spark, sf_dir, ("released",)), macro_sql("coalesce(s.released, a.released)"))

@@ -25,8 +25,8 @@ def _ends(key: str) -> dict:
     }
 
 
-#: lines of a day in order; prices settle the order of equal keys
-_ORDER = "lpad(CAST(l_orderkey AS STRING), 12, '0') || lpad(CAST(l_linenumber AS STRING), 3, '0') || lpad(CAST(CAST(floor(px * 100) AS BIGINT) AS STRING), 12, '0')"
+#: Lines of a day in order as one number, so that first and last come from a hash aggregation; prices settle the order of equal keys.
+_ORDER = "CAST(l_orderkey AS DECIMAL(19, 0)) * CAST(1000000000000000 AS DECIMAL(16, 0)) + CAST(l_linenumber AS DECIMAL(5, 0)) * CAST(10000000000 AS DECIMAL(11, 0)) + CAST(floor(px * 100) AS DECIMAL(10, 0))"
 _PX = Recipe().add(trade_date="CAST(l_shipdate AS DATE)", px="l_extendedprice / l_quantity").add(line_key=_ORDER)
 
 

@@ -107,3 +107,9 @@ def test_filter_and_columns_reach_the_scan(spark):
     df = views.CALENDAR.where("event_date > DATE '1998-01-01'").pick("event_id").apply(spark.read.parquet("/root/testdata/sf0.001/orders.parquet"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "o_totalprice" not in plan and "PushedFilters: [IsNotNull(o_orderdate)" in plan
+
+
+def test_bars_come_from_hash_aggregation(spark):
+    """First and last price of a day need no sort of the lines."""
+    plan = views.BARS.apply(views.table(spark, "/root/testdata/sf0.001", "lineitem"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Sort [" not in plan
