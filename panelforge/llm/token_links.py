@@ -21,6 +21,7 @@ import functools
 import hashlib
 import itertools
 import json
+import os
 import re
 from collections.abc import Iterable
 
@@ -120,6 +121,7 @@ class Units:
     UNIT_BYTES = 300
 
     def __init__(self, bytes_path: str, pieces_path: str, max_bytes: int = 128 << 20):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread; more would only contend for the executor's cores
         self.library = Tokenizer.from_file(bytes_path)
         self.library.encode_special_tokens = True
         self.library.no_padding()
@@ -192,16 +194,15 @@ class Aligner:
 
     def groups_text(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
         """Decimal ids as ``a1,a2|b1;a3|b2,b3``."""
-        parts, keys = [], []
-        for ids, last, inner, final, side in ((a, last_a, 0, 1, 0), (b, last_b, 2, 3, 1)):
-            text = self.texts[inner][ids]
-            text[last] = self.texts[final][ids[last]]
-            parts.append(text)
-            ends = np.zeros(len(ids), dtype=np.int64)
-            ends[last[:-1] + 1] = 1
-            keys.append(2 * np.cumsum(ends) + side)
-        order = np.argsort(np.concatenate(keys), kind="stable")
-        return "".join(np.concatenate(parts)[order].tolist())[:-1]
+        out = np.empty(len(a) + len(b), dtype=object)
+        ends = last_a + 1, last_b + 1
+        # a token stands behind its own side's and the other side's of the groups before; B's also behind A's of its group
+        for ids, own, other, first in ((a, ends[0], np.r_[0, ends[1]], 0), (b, ends[1], ends[0], 2)):
+            text = self.texts[first][ids]
+            text[own - 1] = self.texts[first + 1][ids[own - 1]]
+            before = np.repeat(other[: len(own)], np.diff(np.r_[0, own]))
+            out[np.arange(len(ids)) + before] = text
+        return "".join(out.tolist())[:-1]
 
     def links(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in the link table and how often each occurs."""
