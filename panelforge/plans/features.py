@@ -153,10 +153,10 @@ _SECTIONS = [
     ("documents", views.ARTICLES.then(calendar_news.NEWS_DAYS), "observation_date", {"news_state": "sentiment_regime"}),
     ("named bars", prices.PANEL.group(["trade_date"], trend=(f"bround(avg({synthesis.trend_score('trend_state')}), 3)", f"round_even(avg({synthesis.trend_score('trend_state')}), 3)")), "trade_date", {"price_trend_score": "trend"}),
 ]
-#: Panels by symbol; a symbol reports on one day, and the day's least symbol stands for its section.
+#: Panels by symbol; a symbol reports on one day, and the day's most frequent label, of equals the first, stands for its section.
 _REPORTED = ("date_add(DATE '1995-01-02', CAST(CAST(substr(symbol, 2) AS BIGINT) % 2500 AS INT))", "DATE '1995-01-02' + CAST(CAST(substr(symbol, 2) AS BIGINT) % 2500 AS INTEGER)")
 _SECTIONS += [
-    ("part", recipe.add(report_day=_REPORTED).group(["report_day"], **{name: (f"min_by({label}, symbol)", f"arg_min({label}, symbol)")}), "report_day", {name: name})
+    ("part", recipe.add(report_day=_REPORTED).group(["report_day", label], n="count(*)").group(["report_day"], **{name: f"substr(min(lpad(CAST(1000000000000 - n AS STRING), 13, '0') || {label}), 14)"}), "report_day", {name: name})
     for recipe, label, name in (
         (OPTION_METRICS.then(scores.OPTIONS), "options_regime", "option_state"),
         (EARNINGS_ROWS.then(scores.EARNINGS), "earnings_regime", "earnings_state"),
