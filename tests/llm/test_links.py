@@ -91,6 +91,17 @@ def test_texts_of_any_characters():
             assert (aligner.table[np.searchsorted(aligner.table, codes)] == codes).all()
 
 
+def test_short_and_long_units_by_either_encoder():
+    rng = random.Random(6)
+    units = token_links.Units(A, B)
+    texts = [" " + "".join(rng.choice("abé,.'1\t\n\x1c中") for _ in range(rng.randint(1, 40))) for _ in range(2000)] + [" " + "ab" * 3000, " " * 5000, " " * 1999 + "x", " a\u3000\x85b", " it's", " 12345 678", " ²½"]
+    assert units.short is not None
+    ids, ends = units.encode_bytes(texts)
+    units.short = None
+    again, stops = units.encode_bytes(texts)
+    assert ids.tolist() == again.tolist() and ends.tolist() == stops.tolist()
+
+
 def test_full_stores_are_emptied():
     units = token_links.Units(A, B, max_bytes=3_000)
     for k in range(40):
