@@ -4,7 +4,7 @@ A load upserts its fresh, valid rows into the months that they touch and then wr
 whole partitions (months of bars, the load's own partition of a state table), bars first, the run row last. A load is
 committed by its run row, and checkpoints count only if their load is; a load that ended early and is run again reads
 the same checkpoints and so takes the same rows, finds its own earlier inserts by their load, and leaves the same
-tables as one that ran through.
+tables as one that ran through. A load that is committed does nothing when it is run again.
 
 Defined cases: undated rows are fresh; a symbol without fresh rows is skipped, one whose fresh rows are all invalid fails;
 an empty source gives a run of no rows. Extra columns of the source are left out; equal keys go to the least ``seq``.
@@ -69,6 +69,8 @@ def load(source: DataFrame, root: str, load_id: str, at: str, requested_start: s
         if name == end_after:
             raise Killed(name)
 
+    if not read_state(spark, root, "runs").where(F.col("load") == load_id).isEmpty():
+        return
     rows = source.select(*KEY, *VALUES, "seq")
     start = F.lit(requested_start).cast("date")
     if resume:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.canonical import canonical_json
@@ -58,3 +58,16 @@ def price_report(panel: DataFrame) -> DataFrame:
         group("atr_14", "dollar_volume", "adv_20", "relative_volume_20", "liquidity_score").alias("liquidity_context"),
         *[F.lit(True).alias(f) for f in ("no_db_writes", "no_vendor_calls", "no_scheduler_activation")],
     )
+
+
+def reports_in_parts(rows: DataFrame, day: str, order: list[str], fields: list[str], name: str, most: int = 100) -> DataFrame:
+    """day, part (from 0), parts, n (rows of the day), and ``name``: the day's rows in order as structs, at most ``most`` in a row.
+
+    A day of any number of rows becomes as many parts as it needs, so that nothing is left out and no list is unbounded."""
+    place = F.row_number().over(Window.partitionBy(day).orderBy(*order)) - 1
+    numbered = rows.select(day, *{c: None for c in (*order, *fields)}).withColumn("_place", place)
+    counts = rows.groupBy(day).agg(F.count("*").alias("n"))
+    one = F.struct("_place", F.struct(*fields).alias("row"))
+    parts = numbered.groupBy(day, F.floor(F.col("_place") / most).alias("part")).agg(F.array_sort(F.collect_list(one)).alias("_rows"))
+    listed = F.transform("_rows", lambda r: r["row"]).alias(name)
+    return parts.join(counts, day).select(day, "part", F.ceil(F.col("n") / most).alias("parts"), "n", listed)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.functions.canonical import canonical_json
-from panelforge.operators import payload, prices
+from panelforge.operators import calendar_news, payload, prices
 from panelforge.operators.acceptance import FLAGS
 from panelforge.plans.catalog import Catalog
 from panelforge.plans.features import bundle, bundle_sql
@@ -92,6 +92,34 @@ SELECT symbol, trade_date AS observation_date, CAST(to_json({_object({
 """
 
 
+_EVENT_FIELDS, _NEWS_FIELDS = ["event_id", "event_date", "event_type", "impact"], ["article_id", "source", "symbol", "kind", "bucket", "sentiment_score"]
+_RANK = "CASE impact WHEN 'EXTREME' THEN 0 WHEN 'HIGH' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END"
+
+
+def event_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events ahead of each day, the soonest and gravest first, in parts of 50."""
+    rows = views.CALENDAR.then(calendar_news.EVENT_WINDOWS).apply(table(spark, sf_dir, "orders")).withColumn("rank", F.expr(_RANK))
+    out = payload.reports_in_parts(rows, "observation_date", ["event_date", "rank", "event_id"], _EVENT_FIELDS, "events", 50)
+    return out.withColumn("events", canonical_json(out, "events"))
+
+
+def news_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles behind each day, the latest first, in parts of 20."""
+    rows = views.ARTICLES.then(calendar_news.NEWS_WINDOWS).apply(table(spark, sf_dir, "documents")).withColumn("latest", -F.unix_micros("published_at"))
+    out = payload.reports_in_parts(rows, "observation_date", ["latest", "article_id"], _NEWS_FIELDS, "articles", 20)
+    return out.withColumn("articles", canonical_json(out, "articles"))
+
+
+def _parts_sql(source: str, order: str, fields: list[str], name: str, most: int) -> str:
+    values = {f: f"CAST({f} AS VARCHAR)" if f == "event_date" else f for f in fields}
+    return f"""
+WITH numbered AS (SELECT *, row_number() OVER (PARTITION BY observation_date ORDER BY {order}) - 1 AS place, count(*) OVER (PARTITION BY observation_date) AS n FROM {source})
+SELECT observation_date, place // {most} AS part, (max(n) + {most - 1}) // {most} AS parts, max(n) AS n, CAST(to_json(list({_object(values)} ORDER BY place)) AS VARCHAR) AS {name} FROM numbered GROUP BY observation_date, place // {most}
+"""
+
+
 def register(c: Catalog) -> None:
+    c.plan("event_reports", event_reports, _parts_sql(views.CALENDAR.then(calendar_news.EVENT_WINDOWS).sql("orders"), f"event_date, {_RANK}, event_id", _EVENT_FIELDS, "events", 50))
+    c.plan("news_reports", news_reports, _parts_sql(views.ARTICLES.then(calendar_news.NEWS_WINDOWS).sql("documents"), "published_at DESC, article_id", _NEWS_FIELDS, "articles", 20))
     c.plan("producer_payloads", producer_payloads, PAYLOADS_SQL)
     c.plan("price_reports", price_reports, REPORTS_SQL)

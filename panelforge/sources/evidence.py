@@ -1,7 +1,7 @@
 """Files as evidence: digests and sizes of what was delivered against its manifest, and exact line numbers of split files.
 
 Digests read each file's bytes once (``binaryFile``; files beyond Spark's ``binaryFile.maxLength`` fail), listings read no
-content. Lines of a large file are read by many tasks; a line's number is its place in its block plus the lines of the
+content. Files without a byte are not listed, so that one is as good as missing. Lines of a large file are read by many tasks; a line's number is its place in its block plus the lines of the
 blocks before, which are counted first: one row for each block, whatever the file's length. An unsplit (gzip) file is
 one block. Blank lines count as lines.
 """

@@ -6,12 +6,12 @@ import decimal
 import duckdb
 import pytest
 
-from panelforge.plans import acceptances, batches, catalog, chains, evidence, features, handoffs, ingestion, loads, observations, payloads, round_trips, vendors
+from panelforge.plans import acceptances, batches, catalog, chains, evidence, features, handoffs, ingestion, loads, observations, payloads, record_handoffs, round_trips, vendors
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
 LIBRARY = catalog.Catalog()
-for module in (features, ingestion, handoffs, batches, vendors, acceptances, round_trips, observations, loads, evidence, payloads, chains):
+for module in (features, ingestion, handoffs, batches, vendors, acceptances, round_trips, observations, loads, evidence, payloads, chains, record_handoffs):
     module.register(LIBRARY)
 
 
