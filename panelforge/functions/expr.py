@@ -73,13 +73,15 @@ def reasons(**rules: Expr) -> Expr:
 
 
 def safe_datetime(c: str) -> Expr:
-    """ISO date or time; ``Z`` is UTC, an offset is applied, none means UTC."""
+    """ISO date or time; ``Z`` is UTC, an offset is applied, none means UTC, whatever the session's zone."""
     text = f"replace(trim({c}), 'Z', '+00:00')"
     pattern = "^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?([+-][0-9]{2}:[0-9]{2})?)?$"
     m, shifted = matches(text, pattern), matches(text, "T?[0-9]{2}:[0-9]{2}[0-9:.]*[+-][0-9]{2}:[0-9]{2}$")
     minutes = f"(CAST(substr({text}, -5, 2) AS INTEGER) * 60 + CAST(substr({text}, -2) AS INTEGER)) * (CASE WHEN substr({text}, -6, 1) = '-' THEN -1 ELSE 1 END)"
     plain = f"try_cast(substr({text}, 1, length({text}) - 6) AS TIMESTAMP) - to_minutes({minutes})"
-    return f"(CASE WHEN {m[0]} THEN try_cast({text} AS TIMESTAMP) END)", f"(CASE WHEN NOT {m[1]} THEN NULL WHEN {shifted[1]} THEN {plain} ELSE try_cast({text} AS TIMESTAMP) END)"
+    timed = f"regexp_replace({text}, '([T ][0-9][0-9]:[0-9][0-9])([+-]|$)', '$1:00$2')"
+    zoned = f"CASE WHEN {shifted[0]} THEN {timed} WHEN length({text}) = 10 THEN {text} || 'T00:00:00+00:00' ELSE {timed} || '+00:00' END"
+    return f"(CASE WHEN {m[0]} THEN try_cast({zoned} AS TIMESTAMP) END)", f"(CASE WHEN NOT {m[1]} THEN NULL WHEN {shifted[1]} THEN {plain} ELSE try_cast({text} AS TIMESTAMP) END)"
 
 
 def first_present(json: str, *keys: str) -> Expr:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from panelforge.functions import expr as x
 from panelforge.functions.expr import both
+from panelforge.operators.records import INDEX_SYMBOLS
 from panelforge.plans.recipe import Expr, Recipe, sha256
 
 
@@ -72,8 +73,8 @@ RSS = (
     )
     .pick("news_id", "guid", "source", "headline", "published", "link", "rejected")
 )
-#: Volatility indices by their vendor's name.
-VOL_SYMBOLS = {"I:VIX": "VIX", "I:VVIX": "VVIX", "I:VXN": "VXN", "I:RVX": "RVX"}
+#: Volatility indices by their vendor's name.
+VOL_SYMBOLS = {vendor: symbol for vendor, symbol in INDEX_SYMBOLS.items() if vendor != symbol}
 #: Volatility observations: canonical symbol, time required, warnings for unknown symbols and sources that differ.
 VOL_OBSERVATIONS = (
     Recipe()

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 #: Columns of option files in their order, and names of the lists in responses.
 OPTION_HEADER = ["ticker", "volume", "open", "close", "high", "low", "window_start", "transactions"]
-LISTS = ("historical_ohlcv", "rows", "data", "ohlcv", "historical", "results")
+LISTS = ("historical_ohlcv", "rows", "data", "ohlcv", "historical", "results", "observations")
 
 
 def folder(spark: SparkSession) -> str:

@@ -14,7 +14,7 @@ RAW = T.StructType([T.StructField(n, T.StringType()) for n in ("ticker", "date",
 
 
 def stream_bars(spark: SparkSession, folder: str, lateness: str = "30 days") -> DataFrame:
-    """Checked bars of a folder of CSV files; of equal keys within the watermark only the first passes."""
+    """Checked bars of a folder of CSV files, with a watermark; ``dedupe`` keeps each key once, here every row passes."""
     raw = spark.readStream.schema(RAW).option("header", True).csv(folder)
     checked = normalize.STOCK_DAY.apply(raw).withColumn("event_time", F.col("trade_date").cast("timestamp"))
     return checked.withWatermark("event_time", lateness)

@@ -6,6 +6,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
+from panelforge.functions.expr import safe_datetime
 from panelforge.operators import batch_gate, evidence_chain, sessions
 from panelforge.sources import evidence
 
@@ -108,3 +109,15 @@ def test_chain_of_one_chunk(spark):
     assert (r["bars_component"], r["lineage_component"], r["checkpoint_component"], r["evidence_status"], r["shape"]) == ("PASS", "PASS", "WARN", "WARN", "partial")
     r = chain("lineage", "checkpoint")
     assert (r["bars_component"], r["lineage_component"], r["checkpoint_component"], r["evidence_status"]) == ("WARN", "FAIL", "FAIL", "FAIL")
+
+
+def test_times_without_an_offset_are_utc_in_any_zone(spark):
+    rows = spark.createDataFrame([("2024-01-02",), ("2024-01-02T03:04",), ("2024-01-02 03:04:05",), ("2024-01-02T03:04:05.25Z",), ("2024-01-02T03:04:05-05:00",), ("soon",)], "c string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [r[0] for r in rows.coalesce(1).selectExpr(f"unix_millis({safe_datetime('c')[0]})").collect()]
+            assert got == [1704153600000, 1704164640000, 1704164645000, 1704164645250, 1704182645000, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
