@@ -9,7 +9,8 @@ from panelforge.operators import batch_gate, coverage, evidence_chain, sessions
 from panelforge.plans.catalog import Catalog
 from panelforge.plans.ingestion import OPRA
 from panelforge.plans.recipe import Recipe
-from panelforge.sources import views
+from panelforge.sources import artifacts, views
+from panelforge.sources.files import folder
 from panelforge.sources.views import table
 
 #: Bars but those of some symbols' months, chunks of 90 days, and states of orders.
@@ -194,7 +195,34 @@ FROM rows r JOIN gate g ON g.batch = r.batch WHERE why IS NULL GROUP BY ALL
 """
 
 
+def weekly_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Artifacts of the weeks against those with a session, by month; some weeks are written twice, some never."""
+    lines, path = table(spark, sf_dir, "lineitem"), folder(spark)
+    bars = ARTIFACTS.apply(lines)
+    artifacts.write_days(bars, path)
+    artifacts.write_days(bars.where("day(trade_date) < 8").withColumn("volume", F.col("volume") * 2), path)
+    due = sessions.sessions(lines, "l_shipdate").where("is_open").select(F.date_trunc("week", "day").cast("date").alias("day"))
+    out = artifacts.batch_manifest(artifacts.summaries(spark, path), due)
+    return out.withColumn("missing_days", F.array_join(F.transform("missing_days", lambda d: d.cast("string")), ","))
+
+
+ARTIFACTS = views.NAMED_BARS.add(week="CAST(date_trunc('week', trade_date) AS DATE)").where("day(week) % 13 <> 0").pick("symbol", "close", "volume", trade_date="week")
+ARTIFACTS_SQL = f"""
+WITH {_SESSIONS_SQL.format(column='l_shipdate', table='lineitem', special=_SPECIAL)},
+found AS (SELECT trade_date AS day, count(*) AS n_rows FROM {ARTIFACTS.sql('lineitem')} GROUP BY 1),
+due AS (SELECT DISTINCT CAST(date_trunc('week', day) AS DATE) AS day FROM calendar WHERE is_open),
+both_sides AS (SELECT coalesce(d.day, f.day) AS day, d.day IS NOT NULL AS is_due, f.n_rows FROM due d FULL JOIN found f ON f.day = d.day),
+monthly AS (
+    SELECT strftime(day, '%Y-%m') AS batch, count(*) FILTER (WHERE is_due) AS due, count(*) FILTER (WHERE is_due AND n_rows > 0) AS found, count(*) FILTER (WHERE NOT is_due) AS extra,
+        coalesce(string_agg(CASE WHEN is_due AND n_rows IS NULL THEN CAST(day AS VARCHAR) END, ',' ORDER BY day), '') AS missing_days, CAST(coalesce(sum(n_rows), 0) AS BIGINT) AS n_rows
+    FROM both_sides GROUP BY 1
+)
+SELECT *, CASE WHEN missing_days = '' THEN 'COMPLETE' WHEN found > 0 THEN 'PARTIAL' ELSE 'MISSING' END AS status FROM monthly
+"""
+
+
 def register(c: Catalog) -> None:
+    c.plan("weekly_artifacts", weekly_artifacts, ARTIFACTS_SQL)
     c.plan("evidence_chains", evidence_chains, CHAINS_SQL)
     c.plan("exchange_sessions", exchange_sessions, SESSIONS_SQL)
     c.plan("missing_sessions", missing_sessions, MISSING_SQL)

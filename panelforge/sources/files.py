@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -14,13 +16,21 @@ OPTION_HEADER = ["ticker", "volume", "open", "close", "high", "low", "window_sta
 LISTS = ("historical_ohlcv", "rows", "data", "ohlcv", "historical", "results", "observations")
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; where that is unset and all runs on one machine, a temporary one."""
+    """A new folder below spark.checkpoint.dir; where that is unset and all runs in one process, below a temporary one that goes with it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local[") and context.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="panelforge-files-")
+        if context.applicationId not in _own_dirs:
+            own = tempfile.mkdtemp(prefix="panelforge-files-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            _own_dirs[context.applicationId] = "file://" + own
+        base = _own_dirs[context.applicationId]
     return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.expr import safe_datetime
 from panelforge.operators import batch_gate, evidence_chain, sessions
-from panelforge.sources import evidence
+from panelforge.sources import artifacts, evidence
 
 
 def test_a_changed_byte_is_told(spark, tmp_path):
@@ -121,3 +121,16 @@ def test_times_without_an_offset_are_utc_in_any_zone(spark):
             assert got == [1704153600000, 1704164640000, 1704164645000, 1704164645250, 1704182645000, None]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_daily_artifacts_replace_their_days_only(spark, tmp_path):
+    path = str(tmp_path / "days")
+    day = lambda d: dt.date(2024, 1, d)
+    rows = spark.createDataFrame([("A", day(2), 1.0), ("B", day(2), 2.0), ("A", day(3), 3.0), ("A", day(6), 4.0)], "symbol string, trade_date date, close double")
+    artifacts.write_days(rows, path)
+    artifacts.write_days(rows.where("trade_date = '2024-01-03'").withColumn("close", F.lit(9.0)), path)
+    assert sorted(r[0] for r in spark.read.parquet(path).select("close").collect()) == [1.0, 2.0, 4.0, 9.0]
+    due = spark.createDataFrame([(day(d),) for d in (2, 3, 4, 5)], "day date")
+    (got,) = artifacts.batch_manifest(artifacts.summaries(spark, path), due).collect()
+    assert (got["due"], got["found"], got["extra"], got["missing_days"], got["n_rows"], got["status"]) == (4, 2, 1, [day(4), day(5)], 4, "PARTIAL")
+    assert artifacts.batch_manifest(artifacts.summaries(spark, path).limit(0), due).first()["status"] == "MISSING"
