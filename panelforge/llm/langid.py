@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.llm.bpe_tree import _LETTER, BEYOND_LATIN, _field
-from panelforge.llm.scratch import text_slices
+from panelforge.llm.scratch import returning, text_slices
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: The same pattern for texts up to U+024F, where the standard library's engine is twice as fast.
@@ -266,7 +266,7 @@ def identify(
                 langs, scores, spans = zip(*judge(texts, model))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, kind)], names=[id_col, "lang_pred", "score", "spans"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"{_field(docs, id_col)}, lang_pred string, score double, spans array<struct<first_word:int,words:int,lang:string>>")
+    return docs.select(id_col, text_col).mapInArrow(returning(run), f"{_field(docs, id_col)}, lang_pred string, score double, spans array<struct<first_word:int,words:int,lang:string>>")
 
 
 def held_out(id_col: str = "doc_id", parts: int = 4, part: int = 2):
@@ -286,4 +286,4 @@ def keep_identified(docs: DataFrame, labelled: DataFrame, train_rows: int = 4000
                 keep = [lang != "und" for lang, _, _ in judge(texts, model)] if model.languages else [bool(words_in(t)) for t in texts]
                 yield batch.slice(first, len(texts)).filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(returning(run), docs.schema)

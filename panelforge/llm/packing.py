@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from panelforge.llm.bpe_tree import Encoder, _field, encoder_of
-from panelforge.llm.scratch import text_slices
+from panelforge.llm.scratch import returning, text_slices
 
 COLUMNS = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -104,4 +104,4 @@ def pack(
         if held:
             yield flush()
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"{_field(docs, id_col)}, {COLUMNS}")
+    return docs.select(id_col, text_col).mapInArrow(returning(run), f"{_field(docs, id_col)}, {COLUMNS}")

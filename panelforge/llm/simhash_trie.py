@@ -27,7 +27,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from panelforge.llm.bpe_tree import _field
 from panelforge.llm.components import connected_components
-from panelforge.llm.scratch import discard, materialize, tasks, text_slices
+from panelforge.llm.scratch import discard, materialize, returning, tasks, text_slices
 
 BITS = 64
 
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             values = np.array([simhash(t, shingle) for _, texts in text_slices(batch, 1) for t in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=[id_col, "fp"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"{_field(docs, id_col)}, fp long")
+    return docs.select(id_col, text_col).mapInArrow(returning(run), f"{_field(docs, id_col)}, fp long")
 
 
 def parts(mask: int, n: int) -> list[int]:
@@ -183,7 +183,7 @@ def near_links(entries: DataFrame, budget: int = 3, hot_limit: int = 2048, level
         dealt = dealt.unionByName(more.select("mask", "part", "fp", "rep"))
     n = tasks(entries.sparkSession)
     dealt = dealt.repartition(n, "mask", "part").sortWithinPartitions("mask", "part", "fp")
-    return dealt.mapInArrow(_join_trees(budget), "src long, dst long")
+    return dealt.mapInArrow(returning(_join_trees(budget)), "src long, dst long")
 
 
 def _groups(marks: DataFrame, budget: int) -> DataFrame:

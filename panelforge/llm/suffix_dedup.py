@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.llm.bloom_lm import _deal, mix
-from panelforge.llm.scratch import materialize, tasks
+from panelforge.llm.scratch import materialize, returning, tasks
 from panelforge.llm.suffix_blocks import V, equal_runs, sort_block
 
 LENGTH, GRAM = 400, 200
@@ -141,7 +141,7 @@ def chunked(docs: DataFrame, chunk_bytes: int, text_col: str) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.mapInArrow(run, "chunk long, blob binary")
+    return docs.mapInArrow(returning(run), "chunk long, blob binary")
 
 
 def _rows(rows: list[tuple], names: list[str], kinds: dict) -> pa.RecordBatch:
@@ -339,14 +339,14 @@ def dedup_passages(docs: DataFrame, text_col: str = "text", chunk_bytes: int = 1
     docs = docs.drop("n_bytes", "n_removed", "n_spans", "kept_sha256")
     chunks = materialize(chunked(docs, chunk_bytes, text_col))
     bits = max(6, int(np.ceil(np.log2(max(chunks.count() / 8, 1)))))
-    keys = chunks.mapInArrow(_counted_keys(bits, text_col), "kind long, chunk long, segment long, keys binary, more binary")
+    keys = chunks.mapInArrow(returning(_counted_keys(bits, text_col)), "kind long, chunk long, segment long, keys binary, more binary")
     codes = materialize(keys.groupBy("kind", "segment").applyInArrow(_codes, "kind long, chunk long, segment long, codes binary"))
     parts = codes.groupBy("chunk").agg(F.collect_list(F.struct("kind", "segment", "codes")).alias("parts"))
 
     schema = "anchor long, salt long, over long, chunk long, number long, lead long, single boolean, text binary"
-    pieces = chunks.join(parts, "chunk").mapInArrow(_open_pieces(text_col, block_pieces), schema)
+    pieces = chunks.join(parts, "chunk").mapInArrow(returning(_open_pieces(text_col, block_pieces)), schema)
     blocks = pieces.repartition(tasks(spark), "anchor", "salt").sortWithinPartitions("anchor", "salt")
-    found = materialize(blocks.mapInArrow(_sort_blocks(block_bytes, bits), _SORTED))
+    found = materialize(blocks.mapInArrow(returning(_sort_blocks(block_bytes, bits)), _SORTED))
     across = found.where("strings is not null").groupBy("segment").applyInArrow(shared_strings, "chunk long, number long, runs array<int>")
     runs = found.where("runs is not null").select("chunk", "number", "runs").unionByName(across)
     runs = runs.groupBy("chunk").agg(F.collect_list(F.struct("number", "runs")).alias("runs"))
@@ -390,4 +390,4 @@ def dedup_passages(docs: DataFrame, text_col: str = "text", chunk_bytes: int = 1
     schema = T.StructType(list(docs.schema.fields))  # adding to docs.schema would change docs
     for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string")):
         schema = schema.add(name, kind)
-    return ready.mapInArrow(cut, schema)
+    return ready.mapInArrow(returning(cut), schema)
