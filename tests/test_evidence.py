@@ -134,3 +134,21 @@ def test_daily_artifacts_replace_their_days_only(spark, tmp_path):
     (got,) = artifacts.batch_manifest(artifacts.summaries(spark, path), due).collect()
     assert (got["due"], got["found"], got["extra"], got["missing_days"], got["n_rows"], got["status"]) == (4, 2, 1, [day(4), day(5)], 4, "PARTIAL")
     assert artifacts.batch_manifest(artifacts.summaries(spark, path).limit(0), due).first()["status"] == "MISSING"
+
+
+def test_states_of_a_chain_are_not_broadcast(spark):
+    from panelforge.plans import chains
+
+    plan = chains.evidence_chains(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [symbol" not in plan
+
+
+def test_overlapping_chunks_each_count_their_rows(spark):
+    day = dt.date
+    chunks = spark.createDataFrame([("A", day(2024, 1, 1), day(2024, 3, 31)), ("A", day(2024, 2, 1), day(2024, 2, 5))], "symbol string, chunk_start date, chunk_end date").selectExpr("*", "named_struct('bars', true, 'run', true, 'quality', false, 'lineage', false, 'checkpoint', false) AS needs")
+    bars = spark.createDataFrame([("A", day(2024, 2, 1)), ("A", day(2024, 2, 3)), ("A", day(2024, 3, 31)), ("B", day(2024, 2, 2))], "symbol string, trade_date date")
+    days = spark.createDataFrame([(day(2024, 2, 1),), (day(2024, 2, 2),), (day(2024, 3, 31),), (day(2024, 4, 1),)], "day date")
+    states = spark.createDataFrame([("run", "A", day(2024, 2, 5), 1, "OLD"), ("run", "A", day(2024, 2, 5), 2, "NEW"), ("run", "A", day(2024, 3, 1), 3, "LAST")], "kind string, symbol string, day date, id long, status string")
+    saved = spark.createDataFrame([], "symbol string, chunk_start date, last_success date")
+    got = evidence_chain.evidence_chain(chunks, bars, days, states, saved).orderBy("chunk_start").collect()
+    assert [(r.bars, r.expected, r.missing, r.run_status, r.run_rows) for r in got] == [(3, 3, 1, "LAST", 3), (2, 2, 1, "NEW", 2)]
