@@ -10,10 +10,11 @@ similarity (1 - edit distance / words of the longer line) of ``similarity`` or m
 lines of similarity 0.8 in about 11, so with a budget of 24 the edit similarity decides. Connected near lines are one
 group; of each group the first line by (doc_id, line number) stays and the rest go.
 
-A block's lines are compared with its least line. Of those that are not near it, ``REPS`` parts of the block, dealt by
-hash, each name their least line, which is compared with all lines of the block. So the work is linear in a block's
-lines. Near lines mostly share several blocks; only two that meet solely in blocks full of lines that are near neither
-can miss each other. The README states the recall against all pairs.
+A block's lines are compared with its least line. Those that are not near it (the rest) are compared with all lines of the
+block, so that near lines of a block are always linked. In blocks of more than ``CROWD`` lines, only lines that share one of
+their rarest words meet: lines of similarity s agree in s of the longer one's words, so among the 1 - s of the words (and one
+more) that come first in any one order they have some in common. No pair is lost by that; a block whose rest has the same few
+words throughout stays quadratic, in a join that streams and spills. The README states the recall against all pairs.
 
 Defined cases: null text has no lines and comes back as it came; blank lines, and lines without a letter or digit, are never removed; equal rows
 (same id and text) count once and their lines as the same place, so all keep or lose them alike; different texts of one id, or without an id, are documents
@@ -36,8 +37,8 @@ RUN, SHORT = 120, 64
 ONES = 0x0101010101010101
 #: Bytes of a word that counts as long.
 LONG = 6
-#: Parts of a block that each name a line to compare with the others.
-REPS = 8
+#: Lines of a block from which on only those that share a rare word are compared, and groups of words whose lines are counted.
+CROWD, COUNTED = 32, 1 << 16
 
 
 def _long(x: int) -> Column:
@@ -183,6 +184,26 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.where(within("norm_x", "norm_y", "most")).select("a", "b")
 
 
+def rare_words(lines: DataFrame, similarity: float) -> DataFrame:
+    """id, rare: the first words of each line by rarity (as characters of ``norm``), so many that near lines share one of them."""
+    characters = F.regexp_extract_all(F.hex(F.encode("norm", "UTF-32")), F.lit("(.{8})"), F.lit(1))
+    coded = lines.select("id", "total", once(F.transform(characters, lambda c: F.conv(c, 16, 10).cast("int")).alias("codes")))
+    # any one order finds all pairs; a rough one, of COUNTED numbers whatever the words, keeps the groups small
+    group = lambda c: F.pmod(c, F.lit(COUNTED))
+    counted = coded.select(F.explode(F.array_distinct("codes")).alias("code")).groupBy(group(F.col("code")).cast("long").alias("id")).agg(F.count("*").alias("n"))
+    counts = lines.sparkSession.range(COUNTED).join(counted, "id", "left").agg(F.transform(F.sort_array(F.collect_list(F.struct("id", "n"))), lambda g: F.coalesce(g["n"], F.lit(0))).alias("counts"))
+    ranked = F.sort_array(F.transform("codes", lambda c: F.struct(F.get("counts", group(c)).alias("n"), c.alias("code"))))
+    first = F.slice(ranked, 1, F.floor(F.col("total") * (1 - similarity) + 1e-9).cast("int") + 1)
+    return coded.crossJoin(F.broadcast(counts)).select("id", F.array_distinct(F.transform(first, lambda w: w["code"])).alias("rare"))
+
+
+def _pairs_with_rest(rows: DataFrame, key: list[str]) -> DataFrame:
+    """x, y, sim_x, ... of the rows under one key of which at least one is of the rest, each pair once a key."""
+    side = lambda rows, end: rows.select(*key, F.col("id").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("sim", "total", "near")])
+    pairs = side(rows, "x").join(side(rows.where("near is null"), "y"), key)
+    return pairs.where("x <> y and (near_x or x < y)").select("x", "y", "sim_x", "total_x", "sim_y", "total_y")
+
+
 def line_groups(shared: DataFrame, texts: DataFrame, budget: int, similarity: float) -> DataFrame:
     """id, component of the lines that are near another. Bits and lengths come first, so that words travel for few pairs."""
     near = _may_be_near(budget, similarity)
@@ -190,14 +211,15 @@ def line_groups(shared: DataFrame, texts: DataFrame, budget: int, similarity: fl
     stars = stars.join(_side(texts, "a", "x", "sim", "total"), "a").join(_side(texts, "b", "y", "sim", "total"), "b")
     stars = materialize(stars.where(near).select("a", "b", _most(similarity).alias("most")))
     links = materialize(similar(stars, texts))
-    # lines that are not near the least one of a block of more than two
+    # the rest: lines that are not near the least one of a block of more than two
     told = links.select(F.col("a").alias("low"), F.col("b").alias("id"), F.lit(True).alias("near"))
     rows = shared.where("n > 2 and id <> low").join(told, ["low", "id"], "left").join(texts.select("id", "sim", "total"), "id")
-    rows = materialize(rows.select("key", F.struct("id", "sim", "total").alias("line"), "near"))
-    reps = rows.where("near is null").groupBy("key", F.pmod(F.xxhash64("line.id"), F.lit(REPS)).alias("part")).agg(F.min("line").alias("rep"))
-    pairs = rows.join(reps, "key").where("line.id <> rep.id")
-    pairs = pairs.select("line", "rep", *[F.col(f"{side}.{c}").alias(f"{c}_{mark}") for side, mark in (("line", "x"), ("rep", "y")) for c in ("sim", "total")])
-    pairs = pairs.where(near).select(F.least("line.id", "rep.id").alias("a"), F.greatest("line.id", "rep.id").alias("b"), _most(similarity).alias("most")).distinct()
+    rows = materialize(rows.select("key", "n", "id", "sim", "total", "near"))
+    crowded = rows.where(F.col("n") > CROWD)
+    rare = rare_words(texts.join(crowded.select("id").distinct(), "id", "left_semi"), similarity)
+    crowded = crowded.join(rare, "id").withColumn("word", F.explode("rare")).drop("rare")
+    pairs = _pairs_with_rest(rows.where(F.col("n") <= CROWD), ["key"]).unionByName(_pairs_with_rest(crowded, ["key", "word"]))
+    pairs = pairs.where(near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), _most(similarity).alias("most")).distinct()
     groups = connected_components(links.unionByName(similar(pairs, texts)), "a", "b")
     discard(stars, links, rows)
     return groups

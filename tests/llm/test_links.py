@@ -9,7 +9,7 @@ import public_tokenizers
 import sentencepiece
 from tokenizers import Tokenizer
 
-from panelforge.llm import token_links
+from panelforge.llm import fuzzy_lines, token_links
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SF = "/root/testdata/sf0.001"
@@ -114,3 +114,17 @@ def test_nothing(spark):
     assert token_links.align_corpus(spark.createDataFrame([], "doc_id long, text string"), A, B).count() == 0
     bare = spark.createDataFrame([(1, None), (None, None)], "doc_id long, text string")
     assert sorted(r[1:] for r in token_links.align_corpus(bare, A, B).collect()) == [(0, 0, 0, 0, 0, 0, "")] * 2
+
+
+def test_near_lines_of_a_crowded_block_are_linked(spark):
+    # 40 pairs in one block, near their twin alone; the second half of each line is the same in all lines
+    pairs, common = 40, "".join(chr(0x9000 + i) for i in range(8))
+    rows = []
+    for k in range(pairs):
+        own = [chr(0x3400 + 12 * k + i) for i in range(12)]
+        rows += [(2 * k, 0, 20, "".join(own) + common), (2 * k + 1, 0, 20, "".join(own[:5] + ["z"] + own[6:]) + common)]
+    texts = spark.createDataFrame(rows, "id long, sim long, total int, norm string")
+    for n in (2 * pairs, 3):  # by rare words, and all with all
+        shared = texts.selectExpr("1L AS key", "id", "0L AS low", f"{n}L AS n")
+        got = {(r.id, r.component) for r in fuzzy_lines.line_groups(shared, texts, 24, 0.8).collect()}
+        assert got == {(2 * k + 1, 2 * k) for k in range(pairs)}
