@@ -113,3 +113,15 @@ def test_bars_come_from_hash_aggregation(spark):
     """First and last price of a day need no sort of the lines."""
     plan = views.BARS.apply(views.table(spark, "/root/testdata/sf0.001", "lineitem"))._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "Sort [" not in plan
+
+
+def test_filters_do_not_parse_again(spark):
+    """What a filter tests was computed below it, so texts of bars are matched and cast once."""
+    from panelforge.operators import normalize
+    from panelforge.plans import ingestion
+
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    for recipe in (ingestion.VALID, ingestion.RAW_TWICE.then(normalize.CANONICAL)):
+        plan = recipe.apply(lines)._jdf.queryExecution().optimizedPlan().toString()
+        filters = [x for x in plan.splitlines() if "Filter" in x]
+        assert filters and not any("RLIKE" in x.upper() for x in filters)
