@@ -47,7 +47,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.accepted(r.with_duplicates(r.judge(observations(spark, sf_dir), r.rules_table(spark))))
+    return r.accepted(r.with_duplicates(r.judge(observations(spark, sf_dir), r.rules_table(spark)).drop("record")))
 
 
 def observation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,3 +63,10 @@ def test_reports_in_parts(spark):
     assert [[x["name"] for x in out["d1", p]["items"]] for p in range(3)] == [["e0", "e1", "e2"], ["e3", "e4", "e5"], ["e6"]]
     assert (out["d1", 0]["parts"], out["d1", 2]["n"], out["d2", 0]["parts"]) == (3, 7, 1)
     assert payload.reports_in_parts(rows.limit(0), "day", ["at"], ["name"], "items").count() == 0
+
+
+def test_counts_judge_records_once(spark):
+    from panelforge.plans import record_handoffs
+
+    plan = record_handoffs.record_counts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
