@@ -163,20 +163,24 @@ SELECT file, row_number, CASE WHEN failed THEN 'FAIL' ELSE 'PASS' END AS normali
 FROM told
 """
 _MONTHS = Recipe().add(k="CAST(substr(symbol, 2) AS BIGINT)", m=("date_format(trade_date, 'yyyy-MM')", "strftime(trade_date, '%Y-%m')"))
-HANDOFF_ROWS = views.BARS.then(_MONTHS).pick(
+_ROWS_OF_MONTHS = Recipe().pick(
     "symbol", "trade_date", batch="m", file_day="CASE WHEN k = 7 AND day(trade_date) = 3 AND month(trade_date) = 4 THEN trade_date + INTERVAL '1' DAY ELSE trade_date END",
     code="CASE WHEN k = 5 AND day(trade_date) = 4 AND month(trade_date) = 5 THEN 'INVALID_OHLC' WHEN k = 6 AND day(trade_date) = 6 AND month(trade_date) = 6 THEN 'ODD_VALUE' WHEN k = 8 AND day(trade_date) = 7 AND month(trade_date) = 8 THEN 'REQUIRED_VALUE_MISSING' END",
     adjusted="CASE k % 3 WHEN 0 THEN true WHEN 1 THEN false END",
 )
-HANDOFF_BATCHES = views.BARS.then(_MONTHS).group(["m"], n="count(*)").add(month="CAST(substr(m, 6) AS BIGINT)").pick(
+_BATCHES_OF_MONTHS = Recipe().group(["m"], n="count(*)").add(month="CAST(substr(m, 6) AS BIGINT)").pick(
     batch="m", vendor="'polygon'", asset_class="'equity'", dataset_version="'v1'", source_file_sha256="CASE WHEN month = 1 THEN ' ' ELSE m END", validation_status="CASE month WHEN 2 THEN NULL WHEN 3 THEN 'FAIL' ELSE 'PASS' END", certification_status="CASE month WHEN 9 THEN NULL WHEN 10 THEN 'FIXTURE_ONLY' ELSE 'CERTIFIED' END",
 )
+HANDOFF_ROWS, HANDOFF_BATCHES = (views.BARS.then(_MONTHS).then(x) for x in (_ROWS_OF_MONTHS, _BATCHES_OF_MONTHS))
 
 
 def handoff_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    rows = HANDOFF_ROWS.apply(lines).withColumn("file_day", F.col("file_day").cast("date"))
-    out = batch_gate.handoff(rows, HANDOFF_BATCHES.apply(lines))
+    # rows, their counts and their batches are taken from the same bars, which are made once
+    path = folder(spark)
+    views.BARS.then(_MONTHS).apply(table(spark, sf_dir, "lineitem")).select("symbol", "trade_date", "k", "m").write.parquet(path)
+    bars = spark.read.parquet(path)
+    rows = _ROWS_OF_MONTHS.apply(bars).withColumn("file_day", F.col("file_day").cast("date"))
+    out = batch_gate.handoff(rows, _BATCHES_OF_MONTHS.apply(bars))
     return out.groupBy("batch", "handoff_status", F.array_join("batch_errors", ",").alias("batch_errors"), "row_errors", "n_rows").agg(F.count("*").alias("records"), F.min("idempotency_key").alias("first_key"))
 
 
