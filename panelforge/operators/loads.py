@@ -56,7 +56,8 @@ def last_checkpoints(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _replace(df: DataFrame, path: str, part: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+    # a part's rows meet before they are written, or each task would leave a file in each part; large parts are split again
+    df.hint("rebalance", F.col(part)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
 
 
 def load(source: DataFrame, root: str, load_id: str, at: str, requested_start: str, resume: bool = True, end_after: str | None = None) -> None:
