@@ -16,6 +16,8 @@ from panelforge.streaming import dedupe
 FIRST, SECOND = "trade_date IS NULL OR trade_date < DATE '1996-01-01'", "trade_date IS NULL OR trade_date < DATE '1997-07-01'"
 CORRECTED = "day(trade_date) = 10 AND (trade_date < DATE '1996-01-01' OR trade_date >= DATE '1998-01-01')"
 START = "1993-01-01"
+#: Files of a year at most, so that one batch takes them all; each is written by a task of its own.
+PARTS = 64
 
 
 def _loaded(spark: SparkSession, sf_dir: str) -> str:
@@ -116,7 +118,7 @@ def streamed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = sorted(r[0] for r in rows.select("file").distinct().collect())  # one row for each year
     late = 0
     for year in years:
-        spark.read.option("header", True).schema(dedupe.RAW).csv(f"{root}/files/file={year}").coalesce(1).write.mode("append").option("header", True).csv(f"{root}/inbox")
+        spark.read.option("header", True).schema(dedupe.RAW).csv(f"{root}/files/file={year}").coalesce(PARTS).write.mode("append").option("header", True).csv(f"{root}/inbox")
         late += dedupe.drain(spark, f"{root}/inbox", f"{root}/bars", f"{root}/rejected", f"{root}/checkpoint")
     bars = dedupe.accepted(spark, f"{root}/bars")
     out = bars.groupBy("symbol", F.year("trade_date").alias("year")).agg(F.count("*").alias("n"))
