@@ -357,6 +357,16 @@ def test_model_equals_exact_counts(spark, docs):
     assert {r["doc_id"]: r["score"] for r in bloom_lm.score_documents(docs, broadcast_bytes=0).collect()} == pytest.approx(one, rel=1e-12)
 
 
+def test_model_goes_one_way_at_all_sizes(spark, docs, monkeypatch):
+    """Small corpora had their filter broadcast, so that shuffles grew by a step where it became too large for that."""
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda *_: pytest.fail("broadcast"))
+    assert bloom_lm.score_documents(docs, chunk_tokens=20_000).count() == docs.count()
+    # each chunk deals its bigrams once, for the counts and the levels
+    batch = pa.RecordBatch.from_pydict({"chunk": [0], "n_tokens": [[3]], "held": [[True]], "words": [np.sort(np.array([5, 9, bloom_lm.END], dtype=np.uint64)).tobytes()], "tokens": [bloom_lm.pack_ids(np.array([0, 1, 2]))]})
+    rows = [r for b in bloom_lm._dealt_bigrams(4)([batch]) for r in b.to_pylist()]
+    assert sum(len(r["keys"]) for r in rows) == 18 and not any(bloom_lm.unpack_ids(r["counts"]).any() for r in rows)
+
+
 def test_filter_gives_levels_back():
     rng = np.random.default_rng(2)
     keys = rng.integers(0, 1 << 63, 5000).astype(np.uint64)
