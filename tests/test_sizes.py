@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from panelforge.operators import observation_rules
 from panelforge.plans import loads
 
 SF = "/root/testdata/sf0.001"
@@ -59,3 +60,11 @@ def test_a_year_of_the_stream_is_written_by_more_than_one_task(spark, monkeypatc
             loads.streamed_bars(spark, SF)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_rules_that_ask_for_a_field_alone_read_no_value(spark, monkeypatch):
+    monkeypatch.setattr(observation_rules, "_VALUE", "named_struct('type', CAST(raise_error(concat('read ', x.kind)) AS STRING), 'text', '', 'number', 0D, 'items', array(''))")
+    table = observation_rules.rules_table(spark, [("d", "present", "a b c", "is required"), ("d", "absent", "e", "=e is unknown")])
+    rows = spark.createDataFrame([(1, "d", '{"a": null, "b": 1}'), (2, "d", '{"a": 1, "b": 2, "c": 3, "e": null}')], "seq int, domain string, record string")
+    told = {row["seq"]: [e["message"] for e in row["errors"]] for row in observation_rules.judge(rows, table).collect()}
+    assert told == {1: ["c is required"], 2: ["e is unknown"]}
