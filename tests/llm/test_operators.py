@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -304,6 +305,18 @@ def test_window_entropy():
         assert abs(-(p * np.log2(p)).sum() / 6 * 1023 - step) <= 1.01
 
 
+def test_pieces_of_a_chunk_take_little_memory():
+    """Arrays are made for a few documents at a time; what is found does not hang on how many."""
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(97, 123, 4000, dtype=np.uint8).tobytes() for _ in range(500)]
+    tracemalloc.start()
+    pieces = suffix_dedup.chunk_pieces(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+    assert all((a == b).all() for a, b in zip(pieces, suffix_dedup.chunk_pieces(texts, 1 << 30)))
+
+
 # ---- op5 ----
 
 
