@@ -10,11 +10,13 @@ similarity (1 - edit distance / words of the longer line) of ``similarity`` or m
 lines of similarity 0.8 in about 11, so with a budget of 24 the edit similarity decides. Connected near lines are one
 group; of each group the first line by (doc_id, line number) stays and the rest go.
 
-A block's lines are compared with its least line. Those that are not near it (the rest) are compared with all lines of the
-block, so that near lines of a block are always linked. In blocks of more than ``CROWD`` lines, only lines that share one of
-their rarest words meet: lines of similarity s agree in s of the longer one's words, so among the 1 - s of the words (and one
-more) that come first in any one order they have some in common. No pair is lost by that; a block whose rest has the same few
-words throughout stays quadratic, in a join that streams and spills. The README states the recall against all pairs.
+A block's lines are compared with its least line. Lines linked by that, over all blocks, are put into groups. In each block the lines outside its most frequent group (the rest) are compared with those of all other groups, so that near
+lines of a block always end in one group, and blocks of one group alone are done. In blocks of more than ``CROWD`` lines, only
+lines that share one of their rarest words meet: lines of similarity s agree in s of the longer one's words, so among the
+1 - s of the words (and one more) that come first in any one order they have some in common. What leaves this join has
+passed a bound on the edit distance: each word switches one of 64 * ``LANES`` bits, a replaced word two of them, so lines at
+d edits differ in 2 d bits at most, less the difference of their lengths. No pair is lost by either; a block whose rest has
+the same few words throughout stays quadratic in comparisons, though not in rows. The README states the recall against all pairs.
 
 Defined cases: null text has no lines and comes back as it came; blank lines, and lines without a letter or digit, are never removed; equal rows
 (same id and text) count once and their lines as the same place, so all keep or lose them alike; different texts of one id, or without an id, are documents
@@ -39,6 +41,9 @@ ONES = 0x0101010101010101
 LONG = 6
 #: Lines of a block from which on only those that share a rare word are compared, and groups of words whose lines are counted.
 CROWD, COUNTED = 32, 1 << 16
+#: Longs that hold the bits switched by a line's words.
+LANES = 4
+SIGNS = ["sim", "total", *(f"odd{k}" for k in range(LANES))]
 
 
 def _long(x: int) -> Column:
@@ -169,9 +174,30 @@ def _most(similarity: float) -> Column:
 
 
 def _may_be_near(budget: int, similarity: float) -> Column:
-    """Within the bit budget, and of lengths that allow the similarity."""
-    bits = F.bit_count(F.col("sim_x").bitwiseXOR(F.col("sim_y"))) <= budget
-    return bits & (F.abs(F.col("total_x") - F.col("total_y")) <= _most(similarity))
+    """Within the bit budget, and of lengths and words that allow the similarity."""
+    apart = lambda c: F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y")))
+    longer = F.abs(F.col("total_x") - F.col("total_y"))
+    switched = apart("odd0")
+    for k in range(1, LANES):
+        switched = switched + apart(f"odd{k}")
+    return (apart("sim") <= budget) & (longer <= _most(similarity)) & (switched <= 2 * _most(similarity) - longer)
+
+
+def codes_of(norm: str) -> Column:
+    """The numbers of the words in ``norm``, one for each character."""
+    return F.transform(F.split(norm, ""), lambda c: F.ascii(c))
+
+
+def signs(texts: DataFrame) -> DataFrame:
+    """id and SIGNS: what is compared before the words themselves."""
+    bit = lambda c: F.call_function("shiftleft", _long(1), c.bitwiseAND(F.lit(63)))
+
+    def lane(k: int) -> Column:
+        own = F.filter("codes", lambda c: F.shiftright(c, 6).bitwiseAND(F.lit(LANES - 1)) == k)
+        return F.aggregate(own, _long(0), lambda x, c: x.bitwiseXOR(bit(c)))
+
+    odd = [lane(k).alias(f"odd{k}") for k in range(LANES)]
+    return texts.select("id", "sim", "total", once(codes_of("norm").alias("codes"))).select("id", "sim", "total", *odd)
 
 
 def _side(texts: DataFrame, end: str, mark: str, *columns: str) -> DataFrame:
@@ -186,8 +212,7 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def rare_words(lines: DataFrame, similarity: float) -> DataFrame:
     """id, rare: the first words of each line by rarity (as characters of ``norm``), so many that near lines share one of them."""
-    characters = F.regexp_extract_all(F.hex(F.encode("norm", "UTF-32")), F.lit("(.{8})"), F.lit(1))
-    coded = lines.select("id", "total", once(F.transform(characters, lambda c: F.conv(c, 16, 10).cast("int")).alias("codes")))
+    coded = lines.select("id", "total", once(codes_of("norm").alias("codes")))
     # any one order finds all pairs; a rough one, of COUNTED numbers whatever the words, keeps the groups small
     group = lambda c: F.pmod(c, F.lit(COUNTED))
     counted = coded.select(F.explode(F.array_distinct("codes")).alias("code")).groupBy(group(F.col("code")).cast("long").alias("id")).agg(F.count("*").alias("n"))
@@ -197,34 +222,59 @@ def rare_words(lines: DataFrame, similarity: float) -> DataFrame:
     return coded.crossJoin(F.broadcast(counts)).select("id", F.array_distinct(F.transform(first, lambda w: w["code"])).alias("rare"))
 
 
-def _pairs_with_rest(rows: DataFrame, key: list[str]) -> DataFrame:
-    """x, y, sim_x, ... of the rows under one key of which at least one is of the rest, each pair once a key."""
-    side = lambda rows, end: rows.select(*key, F.col("id").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("sim", "total", "near")])
-    pairs = side(rows, "x").join(side(rows.where("near is null"), "y"), key)
-    return pairs.where("x <> y and (near_x or x < y)").select("x", "y", "sim_x", "total_x", "sim_y", "total_y")
+def _pairs_with_rest(rows: DataFrame, key: list[str], near: Column) -> DataFrame:
+    """x, y, total_x, total_y of the rows of different groups under one key that may be near, each pair once a key."""
+    side = lambda rows, end: rows.select(*key, F.col("id").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in (*SIGNS, "group", "home")])
+    pairs = side(rows, "x").join(side(rows.where("not home"), "y").drop("home_y"), key)
+    return pairs.where("group_x <> group_y and (home_x or x < y)").where(near).select("x", "y", "total_x", "total_y")
+
+
+def first_groups(links: DataFrame) -> DataFrame:
+    """id, group: the least line that a line is linked to, in up to four steps; lines of one group are connected, not all
+    that are connected are of one group."""
+    groups = links.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("group"))
+    for _ in range(2):
+        onward = groups.select(F.col("id").alias("group"), F.col("group").alias("next"))
+        groups = groups.join(onward, "group", "left").select("id", F.coalesce("next", "group").alias("group"))
+    return groups
+
+
+def mixed_blocks(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    """key, n, id, group, home (whether the group is the block's most frequent one): the blocks of several groups."""
+    rows = shared.where("n > 2").join(groups, "id", "left").select("key", "n", "id", F.coalesce("group", "id").alias("group"))
+    sized = rows.groupBy("key", "group").agg(F.count("*").alias("size"))
+    homes = sized.groupBy("key").agg(F.max_by("group", "size").alias("most"), F.count("*").alias("groups")).where("groups > 1")
+    return rows.join(homes, "key").select("key", "n", "id", "group", (F.col("group") == F.col("most")).alias("home"))
 
 
 def line_groups(shared: DataFrame, texts: DataFrame, budget: int, similarity: float) -> DataFrame:
     """id, component of the lines that are near another. Bits and lengths come first, so that words travel for few pairs."""
     near = _may_be_near(budget, similarity)
+    told = materialize(signs(texts))
     stars = shared.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
-    stars = stars.join(_side(texts, "a", "x", "sim", "total"), "a").join(_side(texts, "b", "y", "sim", "total"), "b")
+    stars = stars.join(_side(told, "a", "x", *SIGNS), "a").join(_side(told, "b", "y", *SIGNS), "b")
     stars = materialize(stars.where(near).select("a", "b", _most(similarity).alias("most")))
     links = materialize(similar(stars, texts))
-    # the rest: lines that are not near the least one of a block of more than two
-    told = links.select(F.col("a").alias("low"), F.col("b").alias("id"), F.lit(True).alias("near"))
-    rows = shared.where("n > 2 and id <> low").join(told, ["low", "id"], "left").join(texts.select("id", "sim", "total"), "id")
-    rows = materialize(rows.select("key", "n", "id", "sim", "total", "near"))
+    rows = materialize(mixed_blocks(shared, first_groups(links)).join(told, "id"))
+    discard(stars, told)
     crowded = rows.where(F.col("n") > CROWD)
     rare = rare_words(texts.join(crowded.select("id").distinct(), "id", "left_semi"), similarity)
     crowded = crowded.join(rare, "id").withColumn("word", F.explode("rare")).drop("rare")
-    pairs = _pairs_with_rest(rows.where(F.col("n") <= CROWD), ["key"]).unionByName(_pairs_with_rest(crowded, ["key", "word"]))
-    pairs = pairs.where(near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), _most(similarity).alias("most")).distinct()
+    pairs = _pairs_with_rest(rows.where(F.col("n") <= CROWD), ["key"], near).unionByName(_pairs_with_rest(crowded, ["key", "word"], near))
+    pairs = materialize(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), _most(similarity).alias("most")).distinct())
+    discard(rows)
     groups = connected_components(links.unionByName(similar(pairs, texts)), "a", "b")
-    discard(stars, links, rows)
+    discard(links, pairs)
     return groups
 
 
+def narrowed(table: DataFrame, *columns: str) -> DataFrame:
+    """Some columns of a written table, which is deleted: the blocks are most of it and are needed once."""
+    kept = materialize(table.select(*columns))
+    discard(table)
+    return kept
+
+
 def removed_lines(docs: DataFrame, budget: int = 24, chosen: int = 11, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, copy, lines array<int>: numbers (from 0) of the lines that go, for each document that loses some."""
     if "_copy" not in docs.columns:
@@ -233,7 +283,9 @@ def removed_lines(docs: DataFrame, budget: int = 24, chosen: int = 11, similarit
     keys = [c for c in marks.columns if c[0] == "k"]
     lines = marks.groupBy(F.col("h").alias("id")).agg(F.min(F.struct("doc", "copy", "line")).alias("at"), F.count("*").alias("n"), *[F.first(k).alias(k) for k in keys])
     lines = materialize(lines)
+    marks = narrowed(marks, "doc", "copy", "line", "h")
     shared = materialize(shared_blocks(lines))
+    lines = narrowed(lines, "id", "at", "n")
     texts = materialize(wanted_lines(docs, lines, shared, id_col, text_col))
     groups = line_groups(shared, texts, budget, similarity)
     discard(shared, texts)

@@ -128,3 +128,51 @@ def test_near_lines_of_a_crowded_block_are_linked(spark):
         shared = texts.selectExpr("1L AS key", "id", "0L AS low", f"{n}L AS n")
         got = {(r.id, r.component) for r in fuzzy_lines.line_groups(shared, texts, 24, 0.8).collect()}
         assert got == {(2 * k + 1, 2 * k) for k in range(pairs)}
+
+
+def test_near_copies_of_a_block_meet_once(spark):
+    # 60 near copies whose least line is another text, and 60 texts that share half of their words with them and one another
+    rng = random.Random(9)
+    word = lambda: chr(0x3400 + rng.randrange(6000))
+    common, tail = [word() for _ in range(20)], [word() for _ in range(20)]
+    lines = [[*common, *(word() for _ in range(20))]]
+    for _ in range(60):
+        lines.append([*common, *tail])
+        lines[-1][rng.randrange(40)] = word()
+    lines += [[*common, *(word() for _ in range(20))] for _ in range(60)]
+    texts = spark.createDataFrame([(i, 0, 40, "".join(x)) for i, x in enumerate(lines)], "id long, sim long, total int, norm string")
+    near = fuzzy_lines._may_be_near(24, 0.8)
+    shared = texts.selectExpr("explode(array(1L, 2L)) AS key", "id", "0L AS low", f"{len(lines)}L AS n")
+    # what another block has linked needs no comparison
+    shared = shared.unionByName(texts.where("id between 1 and 60").selectExpr("3L AS key", "id", "1L AS low", "60L AS n"))
+    links = texts.where("id between 2 and 60").selectExpr("1L AS a", "id AS b")
+    rows = fuzzy_lines.mixed_blocks(shared, fuzzy_lines.first_groups(links)).join(fuzzy_lines.signs(texts), "id")
+    assert {r.key for r in rows.select("key").distinct().collect()} == {1, 2}
+    assert fuzzy_lines._pairs_with_rest(rows, ["key"], near).count() == 0
+    got = {(r.id, r.component) for r in fuzzy_lines.line_groups(shared, texts, 24, 0.8).collect()}
+    assert got == {(i, 1) for i in range(2, 61)}
+
+
+def test_switched_bits_lose_no_near_pair(spark):
+    rng = random.Random(10)
+    rows = []
+    for k in range(300):
+        a = [chr(0x3400 + rng.randrange(1 << rng.randint(2, 12))) for _ in range(rng.randint(5, 90))]
+        b = list(a)
+        for _ in range(int(len(a) * 0.2 + 1e-9)):
+            at, do = rng.randrange(len(b)), rng.randrange(3)
+            b[at : at + (do != 1)] = [] if do == 0 and len(b) > 1 else [chr(0x3400 + rng.randrange(4096))]
+        rows += [(2 * k, 0, len(a), "".join(a)), (2 * k + 1, 0, len(b), "".join(b))]
+    texts = spark.createDataFrame(rows, "id long, sim long, total int, norm string")
+    told = fuzzy_lines.signs(texts)
+    pairs = fuzzy_lines._side(told.where("id % 2 = 0"), "a", "x", *fuzzy_lines.SIGNS).join(fuzzy_lines._side(told.where("id % 2 = 1").selectExpr("id - 1 AS a", "*").drop("id").withColumnRenamed("a", "id"), "a", "y", *fuzzy_lines.SIGNS), "a")
+    passed = {r.a for r in pairs.where(fuzzy_lines._may_be_near(24, 0.8)).collect()}
+    norms = {r[0]: r[3] for r in rows}
+    both = spark.createDataFrame([(k, norms[k], norms[k + 1]) for k in range(0, 600, 2)], "a long, x string, y string")
+    want = {r.a for r in both.where("levenshtein(x, y) <= floor(greatest(length(x), length(y)) * 0.2 + 1e-9)").collect()}
+    assert len(want) > 200 and want <= passed
+    # lines that share half of their words do not pass
+    half = [(i, 0, 30, "".join(chr(0x3400 + (j if j < 15 else 100 * i + j)) for j in range(30))) for i in range(1, 21)]
+    told = fuzzy_lines.signs(spark.createDataFrame(half, texts.schema))
+    crossed = fuzzy_lines._side(told, "a", "x", *fuzzy_lines.SIGNS).crossJoin(fuzzy_lines._side(told, "b", "y", *fuzzy_lines.SIGNS)).where("a < b")
+    assert crossed.where(fuzzy_lines._may_be_near(24, 0.8)).count() == 0
