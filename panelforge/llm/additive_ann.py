@@ -7,8 +7,9 @@ coded vector is a sum of ``books`` entries. Sums of words are shorter than what
 each row stores the ratio of its squared norm to its inner product with its sum of words, and the score is multiplied by
 it. The ``rerank`` best of each block are scored again on the original vectors in double precision.
 
-Queries meet all rows in blocks of about ``query_chunk`` queries by ``row_chunk`` rows: the coded rows are shuffled once,
-the query blocks to each of them. (Cells of the first codebook would prune next to nothing here: on 51,282 unit vectors of
+Queries meet all rows in blocks of about ``query_chunk`` queries by ``row_chunk`` rows: both are written once, and the task
+of a pair of their splits reads them, so that what is shuffled, broadcast or sent to the driver does not grow with the
+number of pairs. (Cells of the first codebook would prune next to nothing here: on 51,282 unit vectors of
 64 dimensions a query needs 128 of 256 cells to hold 0.92 of its 20 nearest.) Only the codebooks are broadcast; their size
 is fixed.
 
@@ -27,6 +28,9 @@ from pyspark.sql import functions as F
 
 from panelforge.llm.scratch import materialize, tasks
 
+#: Rows that a task holds before it gives them out, 24 bytes each.
+_HELD = 1 << 21
+
 
 def valid_vectors(frame: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """id long, v array of the rows that take part, once each."""
@@ -127,6 +131,29 @@ def best_of_block(query_ids, queries, ids, vectors, codes, norms, books, k: int,
     return np.concatenate(out_q), np.concatenate(out_i), np.concatenate(out_s)
 
 
+def keep_best(query_ids, ids, scores, k: int):
+    """The ``k`` best rows of each query, by score and then id."""
+    order = np.lexsort((ids, -scores, query_ids))
+    query_ids, ids, scores = query_ids[order], ids[order], scores[order]
+    first = np.flatnonzero(np.diff(query_ids, prepend=query_ids[:1] - 1))
+    keep = np.arange(len(order)) - np.repeat(first, np.diff(first, append=len(order))) < k
+    return query_ids[keep], ids[keep], scores[keep]
+
+
+def _found(rows: tuple) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["query_id", "vec_id", "score"])
+
+
+def _sample(rows: DataFrame, total: int, size: int):
+    """The vectors of the first ``size`` rows by a hash of their ids; of a large table only rows with small hashes are sorted."""
+    keyed = rows.select(F.xxhash64("id").alias("h"), "id", "v")
+    first = lambda some: some.orderBy("h", "id").limit(size).repartition(1).toPandas()  # noqa: E731  # one result, not one a task, goes to the driver
+    drawn = first(keyed.where(F.col("h") < -(2**63) + 2**65 * size // total) if total > 4 * size else keyed)
+    if len(drawn) < min(size, total):  # many rows share few ids
+        drawn = first(keyed)
+    return drawn.sort_values(["h", "id"], kind="stable")["v"]
+
+
 def nearest(
     frame: DataFrame,
     k: int = 20,
@@ -144,27 +171,24 @@ def nearest(
     """query_id, rank, vec_id, score: the ``k`` nearest of each row whose id ``query_every`` divides."""
     spark = frame.sparkSession
     rows = valid_vectors(frame, id_col, vector_col)
-    lengths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("count"), F.count(F.when(F.col("id") % query_every == 0, 1)).alias("asked")).orderBy(F.desc("count"), "d").first()
     dims = lengths["d"] if lengths else 1
     rows = rows.where(F.size("v") == dims)
-    drawn = rows.orderBy(F.xxhash64("id"), "id").limit(train_rows).select("v").toPandas()["v"]
+    drawn = _sample(rows, lengths["count"] if lengths else 0, train_rows)
     sample = np.stack(drawn.to_list()) if len(drawn) else np.empty((0, dims))
     shared = spark.sparkContext.broadcast(fit_codebooks(sample, books, words))
 
     n = tasks(spark)
     ordered = rows.repartition(n, "id", "v").sortWithinPartitions("id")
     coded = materialize(ordered.mapInArrow(lambda batches: _coded_chunks(row_chunk, shared.value, beam, dims)(batches), "chunk long, ids binary, vectors binary, codes binary, norms binary"))
-    asked = rows.where(F.col("id") % query_every == 0)
-    blocks = max(1, -(-asked.count() // query_chunk))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)))
-    asked = asked.groupBy("block").agg(F.collect_list("id").alias("q_ids"), F.flatten(F.collect_list("v")).alias("q_vectors"))
-    # every block of queries goes to every chunk of rows once
-    numbers = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
-    wanted = coded.select("chunk", F.explode(numbers).alias("block")).join(asked, "block").drop("block")
-    pairs = coded.join(wanted, "chunk")
+    blocks = max(1, -(-(lengths["asked"] if lengths else 0) // query_chunk))
+    asked = rows.where(F.col("id") % query_every == 0).withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)))
+    asked = materialize(asked.groupBy("block").agg(F.collect_list("id").alias("q_ids"), F.flatten(F.collect_list("v")).alias("q_vectors")))
+    # every block of queries meets every chunk of rows once, read by the task of the pair: neither is shuffled or broadcast
+    pairs = coded.hint("shuffle_replicate_nl").crossJoin(asked)
 
     def score(batches):
-        books_now = shared.value
+        books_now, best, held = shared.value, {}, 0
         for batch in batches:
             for r in range(batch.num_rows):
                 one = {c: batch.column(c)[r] for c in batch.schema.names}
@@ -174,8 +198,15 @@ def nearest(
                 norms = np.frombuffer(one["norms"].as_py(), dtype="<f8")
                 q_ids = one["q_ids"].values.to_numpy()
                 queries = one["q_vectors"].values.to_numpy().reshape(-1, dims).astype(np.float64)
-                q, i, s = best_of_block(q_ids, queries, ids, vectors, codes, norms, books_now, k, rerank)
-                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(i), pa.array(s)], names=["query_id", "vec_id", "score"])
+                new, block = best_of_block(q_ids, queries, ids, vectors, codes, norms, books_now, k, rerank), one["block"].as_py()
+                # a task gives a query's best of all chunks that it meets, not those of each
+                old = best.get(block, ())
+                best[block] = keep_best(*(np.concatenate(both) for both in zip(old, new)), k) if old else new
+                held += len(best[block][0]) - (len(old[0]) if old else 0)
+                if held >= _HELD:
+                    yield from map(_found, best.values())
+                    best, held = {}, 0
+        yield from map(_found, best.values())
 
     found = pairs.mapInArrow(score, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
