@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.canonical import canonical_json
@@ -67,12 +67,13 @@ SELECT *, sha256(payload_json) AS idempotency_key FROM texts
 def price_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last report of each symbol as canonical JSON, scores to six places."""
     panel = views.BARS.then(prices.PANEL).apply(table(spark, sf_dir, "lineitem"))
+    # rows of a symbol lie together in the panel, so that its last day is told without a join
+    last = F.max("trade_date").over(Window.partitionBy("symbol"))
+    panel = panel.withColumn("_last", last).where("trade_date <=> _last").drop("_last")
     doubles = [f.name for f in panel.schema if f.dataType.typeName() == "double"]
     panel = panel.withColumns({c: F.floor(F.col(c) * 10000 + 0.5) / 10000.0 for c in doubles})
     report = payload.price_report(panel)
-    whole = report.select("symbol", "observation_date", F.struct(*report.columns).alias("report"))
-    last = whole.groupBy("symbol").agg(F.max("observation_date").alias("observation_date"))
-    rows = whole.join(last, ["symbol", "observation_date"])
+    rows = report.select("symbol", "observation_date", F.struct(*report.columns).alias("report"))
     return rows.select("symbol", "observation_date", canonical_json(rows, "report").alias("report_json"))
 
 

@@ -26,6 +26,11 @@ def test_panels_of_a_symbol_need_no_other_exchange(spark):
     assert _plan(entry.queries()["price_panel"](spark, SF)).count("Exchange") == 1
 
 
+def test_the_last_report_of_a_symbol_is_told_where_its_panel_lies(spark):
+    plan = _plan(entry.queries()["price_reports"](spark, SF))
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
 def test_lines_without_supplier_or_day_are_bars_too(spark):
     line = "struct<l_orderkey:bigint,l_suppkey:bigint,l_linenumber:int,l_quantity:double,l_extendedprice:double,l_shipdate:timestamp>"
     rows = spark.sql(f"SELECT inline(from_json('[{{\"l_orderkey\":2,\"l_linenumber\":1,\"l_quantity\":2,\"l_extendedprice\":6}},{{\"l_orderkey\":1,\"l_linenumber\":1,\"l_quantity\":1,\"l_extendedprice\":5}}]', 'array<{line}>'))")
