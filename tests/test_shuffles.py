@@ -41,6 +41,7 @@ def test_snapshot_write_deals_its_rows_once(spark):
     plan = _plan(entry.queries()["snapshot_write"](spark, SF))
     assert plan.count("Exchange") == 2 and "Join" not in plan
     assert len(re.findall("FileScan", plan)) == 1
+    assert re.search(r"Exchange hashpartitioning\(symbol#\d+, 4\), REPARTITION_BY_NUM", plan)  # narrow rows are not joined to few tasks
 
 
 def test_snapshot_status_by_grain_is_that_of_the_joins(spark):
